@@ -11,7 +11,7 @@ from daybook.catalog.registry import DAY, FREQUENT_SQL, NOW, SampleLake, day_ran
 from daybook.operators import evidence
 from daybook.plans.erase import Target, erase
 from daybook.plans.jobs import compact, curate_days, export_days, trim
-from daybook.schemas import ANPR_CAMERA_EVENTS, REWARD_LEDGER, TRIP_EVENTS
+from daybook.schemas import ANPR_CAMERA_EVENTS, REWARD_LEDGER_MONTHLY, TRIP_EVENTS
 from daybook.sources.events import FrameSource
 from daybook.sources.given import view
 from daybook.tables.daytable import DayTable
@@ -202,9 +202,11 @@ def write_erasure_manifest(spark, sf):
 def erase_all_personal_tables(spark, sf):
     lake = loaded(spark, sf)
     cameras = DayTable(spark, f"{lake.root}/raw/anpr_camera_events", ANPR_CAMERA_EVENTS).create(NOW)
-    ledger = DayTable(spark, f"{lake.root}/raw/reward_ledger", REWARD_LEDGER).create(NOW)
-    for table, rows in ((cameras, view(spark, sf, "anpr_camera_events")), (ledger, view(spark, sf, "reward_ledger"))):
-        table.replace_days(rows, day_range(rows), now=NOW)
+    ledger = DayTable(spark, f"{lake.root}/raw/reward_ledger", REWARD_LEDGER_MONTHLY).create(NOW)
+    seen = view(spark, sf, "anpr_camera_events")
+    cameras.replace_days(seen, day_range(seen), now=NOW)
+    entries = view(spark, sf, "reward_ledger").withColumn("event_month", F.trunc("event_date", "month"))
+    ledger.replace_days(entries, [r[0] for r in entries.select("event_month").distinct().collect()], now=NOW)
     account = spark.createDataFrame([("hash_veh_000007", 7)], "identifier STRING, account_id BIGINT")
     request = spark.createDataFrame(
         [("hash_veh_000007", "REQ-ALL-7", "")], "identifier STRING, request_ref STRING, jurisdiction STRING"

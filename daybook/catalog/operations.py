@@ -48,9 +48,9 @@ def query_stats(spark, sf):
     "trip_events",
 )
 def storage_metrics(spark, sf):
-    lake = SampleLake(spark).backfill(trips(spark, sf)).curate()
-    reports.publish_storage(spark, lake.root, dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc))
-    return reports.storage_metrics(spark, lake.root).select("prefix", (F.col("bytes") > 0).alias("has_bytes"))
+    lake, metrics = exported(spark, sf).root, f"{SampleLake(spark, 'metrics').root}/storage"
+    reports.publish_storage(spark, lake, dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc), metrics)
+    return reports.storage_metrics(spark, lake, metrics).select("prefix", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query("storage_by_prefix")

@@ -57,15 +57,16 @@ def object_count(spark: SparkSession, lake: str, prefixes: Sequence[str]) -> Dat
     return spark.createDataFrame(list(zip(prefixes, counts)), "prefix STRING, objects BIGINT")
 
 
-def publish_storage(spark: SparkSession, lake: str, at: dt.datetime) -> DataFrame:
-    """Append the current storage bytes to the metrics table and return what was appended."""
+def publish_storage(spark: SparkSession, lake: str, at: dt.datetime, metrics: str | None = None) -> DataFrame:
+    """Append the current storage bytes to the metrics table, by default the lake's own, and return them."""
     measured = storage_bytes(spark, lake).select(F.lit(at).alias("ts"), "prefix", "bytes")
-    measured.write.mode("append").parquet(f"{lake}/metrics/storage")
+    measured.write.mode("append").parquet(metrics or f"{lake}/metrics/storage")
     return measured
 
 
-def storage_metrics(spark: SparkSession, lake: str) -> DataFrame:
-    return spark.read.schema("ts TIMESTAMP, prefix STRING, bytes BIGINT").parquet(f"{lake}/metrics/storage")
+def storage_metrics(spark: SparkSession, lake: str, metrics: str | None = None) -> DataFrame:
+    path = metrics or f"{lake}/metrics/storage"
+    return spark.read.schema("ts TIMESTAMP, prefix STRING, bytes BIGINT").parquet(path)
 
 
 def daily_max_by_prefix(metrics: DataFrame) -> DataFrame:

@@ -80,6 +80,15 @@ REWARD_LEDGER = TableSpec(
     identifier="account_id",
 )
 
+# A sparse table goes by month: directories that hold a handful of rows each cost more than they prune.
+REWARD_LEDGER_MONTHLY = TableSpec(
+    "reward_ledger",
+    T.StructType([*REWARD_LEDGER.schema.fields, T.StructField("event_month", T.DateType())]),
+    "ledger_id",
+    partition_columns=("event_month",),
+    identifier="account_id",
+)
+
 # Taken whole once a night, so its day is the snapshot date rather than an event date.
 ACCOUNT_SNAPSHOTS = TableSpec(
     "account_snapshots",
