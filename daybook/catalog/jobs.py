@@ -110,7 +110,7 @@ def write_trim_summary(spark, sf):
 @query(
     "write_run_manifest",
     """SELECT 'trip_events' AS table_name, strftime(event_date, '%Y-%m-%d') AS run_date, count(*) AS row_count,
-      cast(sum(trip_id) AS bigint) AS checksum, true AS success, NULL AS error FROM trip_events GROUP BY event_date""",
+      cast(sum(trip_id) AS bigint) AS checksum, true AS success, cast(NULL AS varchar) AS error FROM trip_events GROUP BY event_date""",
     "trip_events",
 )
 def write_run_manifest(spark, sf):

@@ -4,36 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.tables.keys import without
+from daybook.tables.keys import sized, without
 
 # Fixed value: the city code of synthetic test rows.
 SYNTHETIC_CITY = "CITY_ZZ"
 
 
-def _reduce_by_key(rows: DataFrame, key: Sequence[str], pick) -> DataFrame:
-    # An aggregate rather than a window: map tasks already keep one row per key, so a key with very many
-    # copies never gathers in one task.
-    picked = rows.groupBy(*key).agg(pick.alias("row"))
-    return picked.select("row.*")
-
-
-def whole_row(rows: DataFrame) -> Column:
-    return F.struct(*rows.columns)
+# Both reductions are aggregates rather than windows: map tasks already keep one row per key, so a key with
+# very many copies never gathers in one task.
 
 
 def one_per_key(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key, the smallest of its copies in column order."""
-    return _reduce_by_key(rows, key, F.min(whole_row(rows)))
+    picked = rows.groupBy(*key).agg(F.min(F.struct(*rows.columns)).alias("row"))
+    return picked.select("row.*")
 
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """The row with the newest ``version`` per key; ties go to the largest row."""
-    return _reduce_by_key(
-        rows, key, F.max_by(whole_row(rows), F.struct(F.col(version).alias("v"), whole_row(rows).alias("r")))
-    )
+    others = [c for c in rows.columns if c != version]
+    picked = rows.groupBy(*key).agg(F.max(F.struct(version, *others)).alias("row"))
+    return picked.select(*(F.col(f"row.{c}") for c in rows.columns))
 
 
 def has_duplicates(rows: DataFrame, key: Sequence[str]) -> bool:
@@ -57,8 +51,8 @@ def without_erased(rows: DataFrame, register: DataFrame, column: str) -> DataFra
 
 
 def with_jurisdiction(rows: DataFrame, cities: DataFrame) -> DataFrame:
-    """Adds the jurisdiction of the row's city; ``cities`` is one row per city, so it is broadcast."""
-    return rows.join(F.broadcast(cities), "city_code", "left")
+    """Adds the jurisdiction of the row's city; ``cities`` has one row per city."""
+    return rows.join(sized(cities), "city_code", "left")
 
 
 def conform(rows: DataFrame, schema) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.days import date_spine, partition_date, partition_name
 from daybook.operators.evidence import NO_MANIFEST, NOT_SUCCESSFUL, PARSE_ERROR
-from daybook.tables.keys import without
+from daybook.tables.keys import sized, without
 
 
 def named(days: DataFrame) -> DataFrame:
@@ -76,8 +76,6 @@ def counted(days: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def past_class_retention(rows: DataFrame, policy: DataFrame, today: dt.date) -> DataFrame:
-    """Rows older than their data class keeps them; ``policy`` has one row per class, so it is broadcast."""
-    return (
-        rows.join(F.broadcast(policy), "data_class")
-        .filter(F.col("event_date") < F.add_months(F.date_sub(F.lit(today), F.col("keep_days")), -F.col("keep_months")))
-    )
+    """Rows older than their data class keeps them; ``policy`` has one row per class."""
+    oldest_kept = F.add_months(F.date_sub(F.lit(today), F.col("keep_days")), -F.col("keep_months"))
+    return rows.join(sized(policy), "data_class").filter(F.col("event_date") < oldest_kept)

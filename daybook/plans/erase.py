@@ -14,6 +14,7 @@ from daybook.operators import evidence
 from daybook.operators.erasure import count_by_identifier, screen
 from daybook.operators.evidence import utc
 from daybook.tables.daytable import DayTable, SnapshotNotFound
+from daybook.tables.keys import sized
 
 RESULT_SCHEMA = (
     "request_ref STRING, identifier STRING, database STRING, table_name STRING, rows_before BIGINT, "
@@ -59,6 +60,8 @@ def erase(
     refused = [r for r in screened if r.reason is not None]
     if refused:
         raise ValueError(f"{len(refused)} request(s) refused: " + ", ".join(sorted({r.reason for r in refused})))
+    if len({r.request_ref for r in screened}) < len(screened):
+        raise ValueError("request references must be unique: each one names a record")
     _record(spark, lake, screened, started, {}, targets, None, False)
 
     keys = spark.createDataFrame([(r.identifier,) for r in screened], "identifier STRING").distinct()
@@ -82,21 +85,28 @@ def erase_from(target: Target, keys: DataFrame, now: dt.datetime | None = None)
     """Delete, forget history, verify: per requested identifier what happened in one table."""
     table, column = target.table, target.column
     key_type = table.spec.schema[column].dataType
+    requested = [r.identifier for r in keys.collect()]
     if target.identifiers is None:
         mapped = keys.select("identifier", F.col("identifier").try_cast(key_type).alias(column))
     else:
-        mapped = keys.join(target.identifiers, "identifier", "left").select("identifier", column)
-    # One entry per requested identifier, as the request itself came through here.
-    pairs = mapped.collect()
-    results = {r.identifier: TableResult() for r in pairs}
+        mapped = target.identifiers.join(sized(keys), "identifier").select("identifier", column)
+    # As many entries as there are requests, or keys of theirs.
+    pairs = mapped.filter(F.col(column).isNotNull()).collect()
+    results = {identifier: TableResult() for identifier in requested}
     try:
-        own_keys = mapped.select(column).filter(F.col(column).isNotNull())
+        own_keys = keys.sparkSession.createDataFrame(
+            [(r[1],) for r in pairs], f"{column} {key_type.simpleString()}"
+        )
         hits = table.key_hits(own_keys, column).persist()
         try:
             before = {r[0]: r.rows for r in hits.groupBy(column).agg(F.sum("rows").alias("rows")).collect()}
             for r in pairs:
                 results[r.identifier].rows_before += before.get(r[1], 0)
             if not before:
+                # An earlier attempt may have stopped between the delete and the cleaning up.
+                if table.history_holds(own_keys, column):
+                    table.expire(keep=1, now=now)
+                    table.remove_orphans()
                 for result in results.values():
                     result.success = True
                 return results
@@ -113,16 +123,14 @@ def erase_from(target: Target, keys: DataFrame, now: dt.datetime | None = None)
             result.error = str(failure).splitlines()[0] if str(failure) else type(failure).__name__
         return results
     for r in pairs:
-        result = results[r.identifier]
-        if not result.rows_before:
-            result.success = True
-            continue
-        result.rows_after += after.get(r[1], 0)
-        result.snapshot_id, result.blocked = str(previous), blocked
-        if result.rows_after:
-            result.error = f"expected no rows after the delete, found {result.rows_after}"
-        elif not blocked:
-            result.error = f"snapshot {previous} can still be read"
+        results[r.identifier].rows_after += after.get(r[1], 0)
+    for result in results.values():
+        if result.rows_before:
+            result.snapshot_id, result.blocked = str(previous), blocked
+            if result.rows_after:
+                result.error = f"expected no rows after the delete, found {result.rows_after}"
+            elif not blocked:
+                result.error = f"snapshot {previous} can still be read"
         result.success = result.error is None
     return results
 

@@ -47,7 +47,9 @@ def export_days(
             rows = without_erased(rows, erased, raw.spec.identifier)
         return rows
 
-    return copy_days(spark, rows_between, raw, lake, days, run_id=run_id, now=now)
+    # The source may count itself, as long as nothing is kept back here.
+    totals = source.totals if erased is None and not drop_synthetic else None
+    return copy_days(spark, rows_between, raw, lake, days, run_id=run_id, now=now, totals_between=totals)
 
 
 def backfill(

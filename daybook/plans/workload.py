@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.values import exact_mean, exact_sum
-from daybook.tables.keys import MAX_BROADCAST_KEYS
+from daybook.tables.keys import fits_broadcast
 
 
 def trips_with_cameras(trips: DataFrame, cameras: DataFrame, since: dt.date) -> DataFrame:
@@ -61,7 +61,7 @@ def ledger_by_city(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     With many, entries are first summed per account, so an account with very many is one row in the join.
     """
     cities = accounts.select("account_id", F.col("city_code").alias("account_city"))
-    if cities.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+    if fits_broadcast(cities):
         entries = ledger.select("account_id", "ledger_type", F.lit(1).cast("bigint").alias("n"), "amount")
         joined = entries.join(F.broadcast(cities), "account_id")
     else:

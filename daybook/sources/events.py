@@ -9,24 +9,34 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.reconcile import count_checksum_by_day
 from daybook.schemas import TableSpec
 
 
+class _Counted:
+    """Per-day totals of a source that Spark can scan again: only the key and day columns are read."""
+
+    def totals(self, first: dt.date, last: dt.date) -> DataFrame:
+        return count_checksum_by_day(self.rows(first, last), self.spec.primary_key, self.spec.date_column)
+
+
 @dataclass(frozen=True)
-class ParquetSource:
+class ParquetSource(_Counted):
     """Rows of a Parquet dataset read with the declared schema."""
 
     spark: SparkSession
     path: str
     spec: TableSpec
 
+    def all_rows(self) -> DataFrame:
+        return self.spark.read.schema(self.spec.schema).parquet(self.path).select(*self.spec.columns)
+
     def rows(self, first: dt.date, last: dt.date) -> DataFrame:
-        table = self.spark.read.schema(self.spec.schema).parquet(self.path)
-        return table.filter(F.col(self.spec.date_column).between(first, last)).select(*self.spec.columns)
+        return self.all_rows().filter(F.col(self.spec.date_column).between(first, last))
 
 
 @dataclass(frozen=True)
-class FrameSource:
+class FrameSource(_Counted):
     """Rows of a DataFrame that already has the declared columns."""
 
     frame: DataFrame
@@ -51,11 +61,27 @@ class JdbcSource:
     def options(self) -> dict[str, str]:
         return {"url": self.url, "fetchsize": str(self.fetch_size), **self.properties}
 
+    def _where(self, first: dt.date, last: dt.date) -> str:
+        return f"WHERE {self.spec.date_column} BETWEEN DATE '{first.isoformat()}' AND DATE '{last.isoformat()}'"
+
     def bounds_query(self, first: dt.date, last: dt.date) -> str:
+        key = self.spec.primary_key
+        return f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {self.table} {self._where(first, last)}"
+
+    def totals_query(self, first: dt.date, last: dt.date) -> str:
         key, day = self.spec.primary_key, self.spec.date_column
         return (
-            f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {self.table} "
-            f"WHERE {day} BETWEEN DATE '{first.isoformat()}' AND DATE '{last.isoformat()}'"
+            f"SELECT {day} AS event_date, COUNT(*) AS row_count, SUM({key}) AS checksum FROM {self.table} "
+            f"{self._where(first, last)} GROUP BY {day}"
+        )
+
+    def totals(self, first: dt.date, last: dt.date) -> DataFrame:
+        """Counted in the database; one row per day comes over."""
+        found = self.spark.read.format("jdbc").options(**self.options()).option("query", self.totals_query(first, last))
+        return found.load().select(
+            F.col("event_date").cast("date").alias("event_date"),
+            F.col("row_count").cast("bigint").alias("row_count"),
+            F.col("checksum").cast("bigint").alias("checksum"),
         )
 
     def range_options(self, lo: int, hi: int) -> dict[str, str]:

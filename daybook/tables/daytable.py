@@ -185,6 +185,16 @@ class DayTable:
         live = tuple(e for e in self.snapshot(version).live if first <= e.day <= last)
         return self._scan(live).select(*self.spec.columns)
 
+    def as_view(self, name: str | None = None, version: int | None = None) -> str:
+        """Temp views for SQL users: the rows as ``name`` and the log as ``name$snapshots``.
+
+        A view shows the snapshot it was made from; make it again after a change.
+        """
+        name = name or self.spec.name
+        self.read(version).createOrReplaceTempView(name)
+        self.snapshots().createOrReplaceTempView(f"`{name}$snapshots`")
+        return name
+
     def _directory(self, commit: str, day: dt.date) -> str:
         return f"{self.data_root}/commit={commit}/{self.spec.date_column}={day.isoformat()}"
 
@@ -311,6 +321,15 @@ class DayTable:
             F.count(F.lit(1)).alias("rows")
         )
 
+    def history_holds(self, keys: DataFrame, column: str) -> bool:
+        """Whether an older snapshot still shows one of the keys."""
+        ids = self.snapshot_ids()
+        current = set(self.snapshot().live)
+        past = {e for i in ids[:-1] for e in self.snapshot(i).live} - current
+        if not past:
+            return False
+        return not matching(self._scan(past).select(column), keys, column).isEmpty()
+
     def delete_keys(
         self, keys: DataFrame, column: str, hits: DataFrame | None = None, now: dt.datetime | None = None
     ) -> Commit | None:

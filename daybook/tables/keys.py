@@ -1,4 +1,4 @@
-"""Semi and anti joins against a set of keys whose size is checked before it is broadcast."""
+"""Joins against a small side whose size is checked before it is broadcast."""
 
 from __future__ import annotations
 
@@ -7,28 +7,38 @@ from pyspark.sql import functions as F
 
 # Keys up to here go into the scan as a filter, where row-group statistics and dictionaries prune.
 MAX_FILTER_KEYS = 10
-# Keys up to here (identifiers are at most 128 characters) are broadcast; more are shuffled.
-MAX_BROADCAST_KEYS = 1_000_000
+# Rows up to here (identifiers are at most 128 characters) are broadcast; more are shuffled.
+MAX_BROADCAST_ROWS = 1_000_000
 
 
-def _sized(keys: DataFrame, column: str):
-    """Distinct keys and, capped just above the broadcast bound, how many there are."""
+def fits_broadcast(side: DataFrame) -> bool:
+    """Counted where the rows are, nothing is gathered."""
+    return side.count() <= MAX_BROADCAST_ROWS
+
+
+def sized(side: DataFrame) -> DataFrame:
+    """``side`` marked for broadcast when it is small enough, otherwise left to a shuffled join."""
+    return F.broadcast(side) if fits_broadcast(side) else side
+
+
+def _keys(keys: DataFrame, column: str) -> tuple[DataFrame, list | None]:
+    """Distinct keys, and their values when there are only a few."""
     distinct = keys.select(column).where(F.col(column).isNotNull()).distinct()
-    return distinct, distinct.limit(MAX_BROADCAST_KEYS + 1).count()
+    few = distinct.limit(MAX_FILTER_KEYS + 1).collect()
+    return distinct, [r[0] for r in few] if len(few) <= MAX_FILTER_KEYS else None
 
 
 def matching(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` is one of ``keys``."""
-    distinct, n = _sized(keys, column)
-    if n <= MAX_FILTER_KEYS:
-        return rows.filter(F.col(column).isin([r[0] for r in distinct.collect()]))
-    return rows.join(F.broadcast(distinct) if n <= MAX_BROADCAST_KEYS else distinct, column, "left_semi")
+    distinct, few = _keys(keys, column)
+    if few is not None:
+        return rows.filter(F.col(column).isin(few))
+    return rows.join(sized(distinct), column, "left_semi").select(*rows.columns)
 
 
 def without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` is none of ``keys``; rows without a value stay."""
-    distinct, n = _sized(keys, column)
-    if n <= MAX_FILTER_KEYS:
-        listed = F.col(column).isin([r[0] for r in distinct.collect()])
-        return rows.filter(~F.coalesce(listed, F.lit(False)))
-    return rows.join(F.broadcast(distinct) if n <= MAX_BROADCAST_KEYS else distinct, column, "left_anti")
+    distinct, few = _keys(keys, column)
+    if few is not None:
+        return rows.filter(~F.coalesce(F.col(column).isin(few), F.lit(False)))
+    return rows.join(sized(distinct), column, "left_anti").select(*rows.columns)

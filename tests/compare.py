@@ -29,9 +29,19 @@ def _rows(columns, rows):
     return [columns[i] for i in order], sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+}
+
+
 def difference(frame, con, sql: str) -> str | None:
-    """None when both give the same columns and rows, otherwise what differs first."""
+    """None when both give the same columns, types and rows, otherwise what differs first."""
     found = con.execute(sql)
+    have_types = {c: TYPES.get(t, t.upper()) for c, t in frame.dtypes}
+    want_types = {d[0]: str(d[1]).replace(" ", "") for d in found.description}
+    if have_types != want_types:
+        return f"types {sorted(set(have_types.items()) ^ set(want_types.items()))}"
     want_cols, want = _rows([d[0] for d in found.description], found.fetchall())
     have_cols, have = _rows(frame.columns, [tuple(r) for r in frame.collect()])
     if want_cols != have_cols:

@@ -140,7 +140,7 @@ def spread(spark, raw):
 @pytest.mark.parametrize("gone", [["v3"], ["v3", "v13", "v7"], [f"v{i}" for i in range(0, 20, 2)]])
 def test_delete_against_brute_force(spark, spread, monkeypatch, bounds, gone):
     monkeypatch.setattr(keys, "MAX_FILTER_KEYS", bounds[0])
-    monkeypatch.setattr(keys, "MAX_BROADCAST_KEYS", bounds[1])
+    monkeypatch.setattr(keys, "MAX_BROADCAST_ROWS", bounds[1])
     want = [i for i in range(200) if f"v{i % 20}" not in gone]
     spread.delete_keys(_key(spark, *gone), "vehicle_id_hash", now=NOW)
     assert ids(spread.read()) == want

@@ -340,3 +340,56 @@ def test_bad_requests_are_refused_before_anything_happens(spark, lake_root, lake
         erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "../../raw/x", "")), lake, now=NOW)
     assert ids(lake[0].table.read()) == [1, 2, 3, 4, 5, 6]
     assert not Storage(spark).exists(f"{lake_root}/{evidence.ROOT}/erasure")
+
+
+def test_a_second_attempt_cleans_up_what_the_first_left(spark, lake_root, lake, monkeypatch):
+    table = lake[0].table
+    with monkeypatch.context() as patch:
+        patch.setattr(table, "expire", lambda *a, **k: 1 / 0)
+        erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-7", "")), lake, now=NOW)
+    assert table.read(version=2).filter("vehicle_id_hash = 'hash_veh_aaa111'").count() == 2
+    done = erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-8", "")), lake, now=NOW).collect()
+    assert all(r.success for r in done)
+    with pytest.raises(SnapshotNotFound):
+        table.read(version=2)
+    left = spark.read.option("recursiveFileLookup", "true").parquet(table.data_root)
+    assert left.filter("vehicle_id_hash = 'hash_veh_aaa111'").count() == 0
+
+
+def test_request_references_name_one_record_each(spark, lake_root, lake):
+    request = _request(spark, ("hash_veh_aaa111", "REQ-9", ""), ("hash_veh_bbb222", "REQ-9", ""))
+    with pytest.raises(ValueError, match="unique"):
+        erase(spark, lake_root, request, lake, now=NOW)
+
+
+# ---- SQL users and the command line ----------------------------------------------------------------
+
+
+def test_tables_as_views(spark, lake):
+    name = lake[1].table.as_view()
+    assert spark.sql(f"SELECT count(*) FROM {name} WHERE event_date = DATE '2026-01-15'").first()[0] == 5
+    lake[0].table.as_view("raw_trips")
+    log = spark.sql("SELECT snapshot_id FROM `raw_trips$snapshots` ORDER BY committed_at DESC, snapshot_id DESC LIMIT 1")
+    assert log.first()[0] == 2
+    lake[0].table.as_view("trips_before", version=1)
+    assert spark.table("trips_before").count() == 0
+
+
+def test_command_line(spark, lake_root):
+    from daybook.__main__ import run
+
+    trips(spark).write.parquet(f"{lake_root}/source")
+    lake = f"{lake_root}/lake"
+    report = run(["export", "--lake", lake, "--parquet", f"{lake_root}/source", "--start", "2026-01-15",
+                  "--end", "2026-01-16"], spark)
+    assert [r.row_count for r in report.results] == [5, 1]
+    run(["export", "--lake", lake, "--parquet", f"{lake_root}/source", "--day", "2026-01-15"], spark)
+    assert len(run(["curate", "--lake", lake, "--day", "2026-01-15"], spark).results) == 1
+    erased = run(["erase", "--lake", lake, "--identifier", "hash_veh_aaa111", "--request-ref", "REQ-1"], spark)
+    assert [r.rows_before for r in erased.collect()] == [2, 2]
+    assert run(["compact", "--lake", lake, "--max-age-days", "0"], spark).count() == 2
+    assert run(["migrate", "--lake", lake, "--parquet", f"{lake_root}/source"], spark).first().row_count == 6
+    done = run(["trim", "--lake", lake, "--today", "2026-01-20", "--retention-days", "4"], spark)
+    assert [d for d, _, _ in done.dropped] == [D15]
+    with pytest.raises(ValueError):
+        run(["export", "--lake", lake, "--parquet", "x", "--start", "2026-01-15"], spark)

@@ -10,6 +10,7 @@ from daybook.plans import workload
 from daybook.schemas import TRIP_EVENTS
 from daybook.sources.events import JdbcSource, ParquetSource
 from daybook.sources.operations import scan_run_log
+from daybook.tables import keys
 from tests.fixture import D15, D16, TRIPS, ids, trips
 
 REQUESTS = [
@@ -96,7 +97,7 @@ def test_latest_per_key_with_a_hot_key(spark):
     assert out.count() == rows.select("k").distinct().count()
     assert out.filter("k = 7").first().v == 99_999
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and "Window" not in plan
+    assert "partial_max(" in plan and "Window" not in plan
 
 
 def test_new_rows_ignores_conflicts_and_repeats(spark):
@@ -124,7 +125,7 @@ def test_pairs_are_counted_without_being_formed(spark):
 
 @pytest.mark.parametrize("bound", [0, 1_000_000])
 def test_ledger_is_the_same_with_few_and_many_accounts(spark, monkeypatch, bound):
-    monkeypatch.setattr(workload, "MAX_BROADCAST_KEYS", bound)
+    monkeypatch.setattr(keys, "MAX_BROADCAST_ROWS", bound)
     ledger = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 100).alias("account_id"),
         F.when(F.col("id") % 2 == 0, "reward").otherwise("penalty").alias("ledger_type"),
@@ -188,6 +189,8 @@ def test_jdbc_read_is_split_by_key(spark):
         "SELECT MIN(trip_id) AS lo, MAX(trip_id) AS hi FROM trip_events "
         "WHERE event_date BETWEEN DATE '2026-01-15' AND DATE '2026-01-16'"
     )
+    assert "SUM(trip_id) AS checksum" in source.totals_query(D15, D16)
+    assert source.totals_query(D15, D16).endswith("GROUP BY event_date")
     options = source.range_options(10, 20)
     assert options["partitionColumn"] == "trip_id" and options["fetchsize"] == "1000"
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("10", "21", "4")
