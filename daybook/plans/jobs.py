@@ -17,6 +17,7 @@ from daybook.operators.evidence import utc
 from daybook.operators.reconcile import count_checksum
 from daybook.plans.hop import RunReport, copy_days
 from daybook.tables.daytable import DayTable
+from daybook.tables.keys import sized
 
 
 # ---- export and backfill ---------------------------------------------------------------------------
@@ -126,25 +127,40 @@ def compact(
 
 
 def merge_small_files(table: DayTable, target_bytes: int = 256 * 1024**2, now: dt.datetime | None = None):
-    """Rewrite days that hold more files than their bytes call for; the rows stay the same."""
-    live = table.snapshot().live
-    listed = table.files().join(_live_frame(table.spark, live), ["commit", "day"], "left_semi")
-    partition = F.substring_index("file", "/", len(table.spec.partition_columns) + 1)
-    place = F.regexp_replace(partition, "^[^/]+/", "")
-    crowded = (
-        listed.groupBy("day", place.alias("place"))
+    """Rewrite days that hold more files than their bytes call for; the rows stay the same.
+
+    Rows of a partition that deserves n files are spread over n tasks by a hash of the key.
+    """
+    spec = table.spec
+    live = {(e.commit, e.day) for e in table.snapshot().live}
+    stored = table.spark.createDataFrame(list(live), "commit STRING, day DATE")
+    listed = table.files().join(sized(stored), ["commit", "day"], "left_semi")
+    parts = list(spec.partition_columns)
+    sizes = (
+        listed.groupBy(*(_partition_value(spec, c).alias(c) for c in parts))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
-        .filter(F.col("files") > F.ceil(F.col("bytes") / F.lit(target_bytes)))
-        .select("day").distinct()
+        .withColumn("wanted", F.greatest(F.ceil(F.col("bytes") / F.lit(target_bytes)), F.lit(1)))
     )
-    days = [r.day for r in crowded.collect()]
+    crowded = sizes.filter("files > wanted").select(spec.date_column).distinct()
+    days = [r[0] for r in crowded.collect()]
     if not days:
         return None
-    return table.replace_days(table.read(days=days), days, operation="merge_files", now=now)
+    plan = sizes.filter(F.col(spec.date_column).isin(days)).select(*parts, "wanted")
+    tasks = plan.agg(F.sum("wanted")).first()[0]
+    slot = F.pmod(F.xxhash64(spec.primary_key), F.coalesce("wanted", F.lit(1)))
+    rows = (
+        table.read(days=days).join(sized(plan), parts, "left").withColumn("slot", slot)
+        .repartition(int(tasks), *parts, "slot").select(*spec.columns)
+    )
+    return table.replace_days(rows, days, operation="merge_files", rebalance=False, now=now)
 
 
-def _live_frame(spark: SparkSession, live) -> DataFrame:
-    return spark.createDataFrame([(e.commit, e.day) for e in live], "commit STRING, day DATE").distinct()
+def _partition_value(spec, column: str):
+    """Value of a partition column from a listed file name: escaped once as a directory, once as a URI."""
+    text = F.regexp_extract("file", rf"/{column}=([^/]*)/", 1)
+    for _ in range(2):
+        text = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return text.cast(spec.schema[column].dataType)
 
 
 # ---- trim ------------------------------------------------------------------------------------------

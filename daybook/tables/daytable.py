@@ -340,11 +340,10 @@ class DayTable:
         parent = self.snapshot()
         if hits is None:
             hits = self.key_hits(keys, column)
-        per_day = {
-            r.day: r.files for r in hits.groupBy("day").agg(F.count_distinct("file").alias("files")).collect()
-        }
-        if not per_day:
+        totals = hits.groupBy("day").agg(F.count_distinct("file").alias("files"), F.sum("rows").alias("rows")).collect()
+        if not totals:
             return None
+        per_day = {r.day: r.files for r in totals}
         touched = [e for e in parent.live if e.day in per_day]
         names = dict(zip(touched, each(self._file_names, touched)))
         by_name = self._days_by_name(per_day, names)
@@ -367,8 +366,14 @@ class DayTable:
             rest = tuple(f for f in names[entry] if f not in hit_files)
             if rest:
                 kept.append(Live(entry.day, entry.commit, rest))
-        survivors = without(self._scan(rewritten).select(*self.spec.columns), keys, column)
-        staged = self.stage(survivors, {e.day for e in rewritten}, rebalance=False)
+        before = self._scan(rewritten)
+        staged = self.stage(
+            without(before.select(*self.spec.columns), keys, column), {e.day for e in rewritten}, rebalance=False
+        )
+        # The row count of the files comes from their footers.
+        expected = before.count() - sum(r.rows for r in totals)
+        if staged.rows != expected:
+            raise BadBatch(f"{self.spec.name}: {staged.rows} row(s) would survive the delete instead of {expected}")
         kept += [Live(d, staged.commit) for d in staged.days]
         snapshot_id = self._publish(parent, kept, parent.days, "delete", now)
         return Commit(snapshot_id, staged.rows, staged.checksum, staged.days)

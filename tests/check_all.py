@@ -1,4 +1,7 @@
-"""Run every query at a scale against its SQL: ``python tests/check_all.py <sf_dir> [name ...]``."""
+"""Run every query at a scale against its SQL: ``python tests/check_all.py <sf_dir> [name ...]``.
+
+``--plain`` uses a session without this library's settings.
+"""
 
 import sys
 import tempfile
@@ -8,18 +11,24 @@ from pathlib import Path
 
 sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from compare import connect, difference  # noqa: E402
 
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from daybook.session import build_session  # noqa: E402
 
 
-def main(folder: str, names: list[str]) -> int:
-    spark = build_session(
-        "check", "local[8]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-                                   "spark.driver.memory": "8g",
-                                   "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-check-")}
-    )
+def main(folder: str, names: list[str], plain: bool) -> int:
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if plain:
+        builder = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        for key, value in quiet.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        scratch = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-check-"), "spark.driver.memory": "8g"}
+        spark = build_session("check", "local[8]", 8, **quiet, **scratch)
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = connect(folder), oracle_sql(), 0
     for name, run in queries().items():
@@ -39,4 +48,5 @@ def main(folder: str, names: list[str]) -> int:
 
 
 if __name__ == "__main__":
-    sys.exit(1 if main(sys.argv[1], sys.argv[2:]) else 0)
+    arguments = [a for a in sys.argv[1:] if a != "--plain"]
+    sys.exit(1 if main(arguments[0], arguments[1:], "--plain" in sys.argv) else 0)

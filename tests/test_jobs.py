@@ -150,6 +150,23 @@ def test_compact_expires_and_measures(spark, lake_root, raw, curated, source):
     assert metrics["athena-results/export"] == 0
 
 
+def test_merging_files_aims_at_a_size(spark, raw):
+    raw.create(NOW)
+    rows = spark.range(40_000).select(
+        F.col("id").alias("trip_id"), F.sha2(F.col("id").cast("string"), 256).alias("vehicle_id_hash"),
+        F.when(F.col("id") % 10 == 0, "A B+50%").otherwise("BLR").alias("city_code"), F.lit(D15).alias("event_date"),
+        F.rand(1).alias("distance_km"), F.rand(2).alias("fare_amount"),
+        F.lit(dt.datetime(2026, 1, 15)).cast("timestamp_ntz").alias("created_at"),
+    )
+    for part in range(12):
+        raw.append(rows.filter(F.col("trip_id") % 12 == part), [D15], now=NOW)
+    before = len(raw.read().inputFiles())
+    merge_small_files(raw, target_bytes=1024**2, now=NOW)
+    assert {r[0] for r in raw.read().select("city_code").distinct().collect()} == {"A B+50%", "BLR"}
+    assert 3 <= len(raw.read().inputFiles()) < before
+    assert raw.read().count() == 40_000 and raw.read().select("trip_id").distinct().count() == 40_000
+
+
 def test_merging_files_keeps_the_rows(spark, raw):
     raw.create(NOW)
     for t in TRIPS[:4]:
@@ -342,6 +359,16 @@ def test_bad_requests_are_refused_before_anything_happens(spark, lake_root, lake
     assert not Storage(spark).exists(f"{lake_root}/{evidence.ROOT}/erasure")
 
 
+def test_a_delete_that_would_lose_rows_is_not_published(spark, lake, monkeypatch):
+    from daybook.tables import daytable
+
+    table = lake[0].table
+    monkeypatch.setattr(daytable, "without", lambda rows, keys, column: rows.filter("trip_id NOT IN (1, 2, 4)"))
+    with pytest.raises(daytable.BadBatch):
+        table.delete_keys(spark.createDataFrame([("hash_veh_aaa111",)], "vehicle_id_hash STRING"), "vehicle_id_hash")
+    assert ids(table.read()) == [1, 2, 3, 4, 5, 6]
+
+
 def test_a_second_attempt_cleans_up_what_the_first_left(spark, lake_root, lake, monkeypatch):
     table = lake[0].table
     with monkeypatch.context() as patch:
