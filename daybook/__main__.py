@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from daybook.functions.days import parse_day, run_days
 from daybook.lake import day_table
 from daybook.plans.erase import Target, erase
-from daybook.plans.jobs import backfill, compact, curate_days, export_days, migrate, trim
+from daybook.plans.jobs import backfill, compact, curatable_days, curate_days, day_frame, export_days, migrate, trim
 from daybook.schemas import TRIP_EVENTS
 from daybook.session import build_session
 from daybook.sources.events import JdbcSource, ParquetSource
@@ -40,7 +40,9 @@ def _parser() -> argparse.ArgumentParser:
     export.add_argument("--partitions", type=int, default=16, help="parallel database reads")
     export.add_argument("--property", action="append", default=[], metavar="KEY=VALUE", help="JDBC property")
     export.add_argument("--drop-synthetic", action="store_true", help="keep test rows out of the lake")
-    dated(job("curate", "copy days from raw to curated"))
+    curating = job("curate", "copy days from raw to curated")
+    dated(curating)
+    curating.add_argument("--exported-only", action="store_true", help="only days with a successful export manifest")
     hygiene = job("compact", "expire snapshots, remove unreferenced files, publish storage bytes")
     hygiene.add_argument("--keep", type=int, default=1)
     hygiene.add_argument("--max-age-days", type=int, default=5)
@@ -76,6 +78,9 @@ def run(argv: list[str], spark: SparkSession | None = None):
         copy = backfill if args.start else export_days
         return copy(spark, source, raw, lake, days, drop_synthetic=args.drop_synthetic).raise_if_failed()
     if args.job == "curate":
+        if args.exported_only:
+            ready = curatable_days(spark, lake, raw.spec.name, day_frame(spark, days))
+            days = [r.event_date for r in ready.collect()]
         return curate_days(spark, raw, curated, lake, days).raise_if_failed()
     if args.job == "compact":
         return compact(spark, [raw, curated], lake, args.keep, dt.timedelta(days=args.max_age_days))

@@ -94,8 +94,10 @@ def scan_version(spark, sf):
 
 @query(
     "scan_snapshots",
-    """SELECT * FROM (VALUES (1, NULL, 'create', 0), (2, 1, 'replace', 30), (3, 2, 'drop_days', 29))
-      v(snapshot_id, parent_id, operation, days)""",
+    """SELECT snapshot_id, parent_id, operation, CASE snapshot_id WHEN 1 THEN 0 ELSE
+      cast((SELECT count(DISTINCT event_date) FROM trip_events) AS integer) - (snapshot_id - 2) END AS days
+    FROM (VALUES (1, NULL, 'create'), (2, 1, 'replace'), (3, 2, 'drop_days')) v(snapshot_id, parent_id, operation)""",
+    "trip_events",
 )
 def scan_snapshots(spark, sf):
     raw = loaded(spark, sf).raw
@@ -225,7 +227,7 @@ def insert_select(spark, sf):
 def insert_ignore_conflicts(spark, sf):
     rows = trips(spark, sf)
     raw = SampleLake(spark).load_raw(rows.filter(F.col("event_date") <= F.lit(SINCE))).raw
-    incoming = rows.unionByName(rows.filter("trip_id % 3 = 0"))
+    incoming = rows.unionByName(rows.filter("city_code = 'BLR'"))
     raw.append(new_rows(incoming, raw.read(), ["trip_id", "event_date"]), day_range(rows), now=NOW)
     return raw.read()
 
@@ -439,8 +441,8 @@ def curated_dedup(spark, sf):
 @query("compact_small_files", ALL_TRIPS, "trip_events")
 def compact_small_files(spark, sf):
     rows = trips(spark, sf)
-    raw = SampleLake(spark).load_raw(rows.filter("trip_id % 2 = 0")).raw
-    raw.append(rows.filter("trip_id % 2 = 1"), day_range(rows), now=NOW)
+    raw = SampleLake(spark).load_raw(rows.filter("hour(created_at) < 12")).raw
+    raw.append(rows.filter("hour(created_at) >= 12"), day_range(rows), now=NOW)
     merge_small_files(raw, now=NOW)
     return raw.read()
 
@@ -511,7 +513,7 @@ def account_snapshot(spark, sf):
     table = DayTable(spark, f"{SampleLake(spark).root}/raw/accounts", ACCOUNT_SNAPSHOTS).create(NOW)
     day = dt.date(2024, 1, 31)
     today = view(spark, sf, "accounts").withColumn("snapshot_date", F.lit(day))
-    table.replace_days(today.filter("account_id % 2 = 0"), [day], now=NOW)
+    table.replace_days(today.filter("status = 'active'"), [day], now=NOW)
     table.replace_days(today, [day], now=NOW)
     return table.read()
 

@@ -64,7 +64,8 @@ def erase(
         raise ValueError("request references must be unique: each one names a record")
     _record(spark, lake, screened, started, {}, targets, None, False)
 
-    keys = spark.createDataFrame([(r.identifier,) for r in screened], "identifier STRING").distinct()
+    # Lists of requested keys come from here, so they start in one partition and their joins need no shuffle.
+    keys = spark.createDataFrame(sorted({(r.identifier,) for r in screened}), "identifier STRING").coalesce(1)
     outcome: dict[tuple[int, str], TableResult] = {}
     for position, target in enumerate(targets):
         for identifier, result in erase_from(target, keys, now).items():
@@ -96,7 +97,7 @@ def erase_from(target: Target, keys: DataFrame, now: dt.datetime | None = None)
     try:
         own_keys = keys.sparkSession.createDataFrame(
             [(r[1],) for r in pairs], f"{column} {key_type.simpleString()}"
-        )
+        ).coalesce(1)
         hits = table.key_hits(own_keys, column).persist()
         try:
             before = {r[0]: r.rows for r in hits.groupBy(column).agg(F.sum("rows").alias("rows")).collect()}

@@ -411,7 +411,8 @@ def test_command_line(spark, lake_root):
                   "--end", "2026-01-16"], spark)
     assert [r.row_count for r in report.results] == [5, 1]
     run(["export", "--lake", lake, "--parquet", f"{lake_root}/source", "--day", "2026-01-15"], spark)
-    assert len(run(["curate", "--lake", lake, "--day", "2026-01-15"], spark).results) == 1
+    ready = run(["curate", "--lake", lake, "--start", "2026-01-14", "--end", "2026-01-15", "--exported-only"], spark)
+    assert [r.event_date for r in ready.results] == [D15]
     erased = run(["erase", "--lake", lake, "--identifier", "hash_veh_aaa111", "--request-ref", "REQ-1"], spark)
     assert [r.rows_before for r in erased.collect()] == [2, 2]
     assert run(["compact", "--lake", lake, "--max-age-days", "0"], spark).count() == 2
