@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.llm.cnn import op9_quality_classifier
 from daybook.llm.packing import op10_best_fit_packing
+from daybook.llm.rules import op2_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
+        op2_quality_rules,
+        op9_quality_classifier,
         op10_best_fit_packing,
     )
 }
