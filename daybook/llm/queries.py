@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm.cnn import op9_quality_classifier
+from daybook.llm.jaccard import op8_ngram_jaccard_join
 from daybook.llm.langid import op5_language_id
 from daybook.llm.packing import op10_best_fit_packing
 from daybook.llm.rules import op2_quality_rules
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for run in (
         op2_quality_rules,
         op5_language_id,
+        op8_ngram_jaccard_join,
         op9_quality_classifier,
         op10_best_fit_packing,
     )
