@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm.cnn import op9_quality_classifier
+from daybook.llm.decontam import OP6_SQL, op6_benchmark_decontamination
 from daybook.llm.jaccard import op8_ngram_jaccard_join
 from daybook.llm.langid import op5_language_id
 from daybook.llm.packing import op10_best_fit_packing
@@ -17,10 +18,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for run in (
         op2_quality_rules,
         op5_language_id,
+        op6_benchmark_decontamination,
         op8_ngram_jaccard_join,
         op9_quality_classifier,
         op10_best_fit_packing,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_benchmark_decontamination": OP6_SQL,
+}

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from daybook.llm.common import labelled_sample, ship, slices, table
 from daybook.llm.text import U64, Texts, mix
 
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 ROUNDS = 80
 BITS = 15
 CHARS = 3
@@ -111,7 +111,7 @@ def _char_runs(data: np.ndarray) -> np.ndarray:
 def features(texts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each group: hashed n-grams in order, and where each text's begin, with the end of the last."""
     mask = U64((1 << BITS) - 1)
-    words = (texts.word_hashes & mask).astype(np.int32), texts.word_at
+    words = (texts.word_hashes & mask).astype(np.uint16), texts.word_at
     pairs, first = texts.windows(2)
     codes = _char_runs(texts.data)
     owner = np.searchsorted(texts.at[1:], np.arange(len(codes)), side="right")
@@ -119,8 +119,8 @@ def features(texts: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     kept = np.concatenate([[0], np.cumsum(inside)])
     return [
         words,
-        ((pairs & mask).astype(np.int32), np.searchsorted(first, texts.word_at)),
-        (codes[inside].astype(np.int32), kept[np.minimum(texts.at, len(codes))]),
+        ((pairs & mask).astype(np.uint16), np.searchsorted(first, texts.word_at)),
+        (codes[inside].astype(np.uint16), kept[np.minimum(texts.at, len(codes))]),
     ]
 
 
@@ -157,13 +157,23 @@ def _platt(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(theta[0]), float(theta[1])
 
 
+def _all_features(values: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features of many texts, taken from a few at a time."""
+    parts = [features(Texts.of(values, a, b)) for a, b in slices(values)]
+    out = []
+    for group in zip(*parts, strict=True):
+        sizes = np.concatenate([np.diff(at) for _, at in group])
+        out.append((np.concatenate([codes for codes, _ in group]), np.concatenate([[0], np.cumsum(sizes)])))
+    return out
+
+
 def train(sample: pa.Table) -> Regression:
     """Fit on rows of (text, label): every fifth row calibrates, the rest train."""
     model = Regression()
     labels = sample["label"].to_numpy().astype(np.float64)
     if not len(labels):
         return model
-    groups = features(Texts.of(sample["text"].combine_chunks(), 0, len(labels)))
+    groups = _all_features(sample["text"].combine_chunks())
     calibrates = np.arange(len(labels)) % 5 == 4
     weight = np.where(calibrates, 0.0, 1 / max(1, (~calibrates).sum()))
     moments = [[np.zeros(1 << BITS), np.zeros(1 << BITS)] for _ in groups]
@@ -174,7 +184,7 @@ def train(sample: pa.Table) -> Regression:
         model.intercept -= float(error.sum())
         for i, (codes, at) in enumerate(groups):
             sizes = np.diff(at)
-            each = np.repeat(SCALE * error / np.maximum(1, sizes), sizes)
+            each = np.repeat((SCALE * error / np.maximum(1, sizes)).astype(np.float32), sizes)
             gradient = np.bincount(codes, weights=each, minlength=1 << BITS) + 1e-6 * model.weights[i]
             m, v = moments[i]
             m[:] = 0.9 * m + 0.1 * gradient
