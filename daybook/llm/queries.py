@@ -12,11 +12,13 @@ from daybook.llm.jaccard import op8_ngram_jaccard_join
 from daybook.llm.langid import op5_language_id
 from daybook.llm.packing import op10_best_fit_packing
 from daybook.llm.rules import op2_quality_rules
+from daybook.llm.urls import op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
         op2_quality_rules,
+        op3_url_filter,
         op5_language_id,
         op6_benchmark_decontamination,
         op8_ngram_jaccard_join,
