@@ -12,6 +12,7 @@ from daybook.llm.jaccard import op8_ngram_jaccard_join
 from daybook.llm.langid import op5_language_id
 from daybook.llm.packing import op10_best_fit_packing
 from daybook.llm.rules import op2_quality_rules
+from daybook.llm.secrets import op7_secret_scan
 from daybook.llm.urls import op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_url_filter,
         op5_language_id,
         op6_benchmark_decontamination,
+        op7_secret_scan,
         op8_ngram_jaccard_join,
         op9_quality_classifier,
         op10_best_fit_packing,
