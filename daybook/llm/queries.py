@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.llm.brown import op4_lm_scoring
 from daybook.llm.cnn import op9_quality_classifier
 from daybook.llm.decontam import OP6_SQL, op6_benchmark_decontamination
 from daybook.llm.jaccard import op8_ngram_jaccard_join
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for run in (
         op2_quality_rules,
         op3_url_filter,
+        op4_lm_scoring,
         op5_language_id,
         op6_benchmark_decontamination,
         op7_secret_scan,
