@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.llm.brown import op4_lm_scoring
 from daybook.llm.cnn import op9_quality_classifier
 from daybook.llm.decontam import OP6_SQL, op6_benchmark_decontamination
+from daybook.llm.extract import op1_html_extraction
 from daybook.llm.jaccard import op8_ngram_jaccard_join
 from daybook.llm.langid import op5_language_id
 from daybook.llm.packing import op10_best_fit_packing
@@ -19,6 +20,7 @@ from daybook.llm.urls import op3_url_filter
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
+        op1_html_extraction,
         op2_quality_rules,
         op3_url_filter,
         op4_lm_scoring,
