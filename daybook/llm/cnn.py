@@ -164,6 +164,20 @@ def score(documents: DataFrame, net: Network) -> DataFrame:
     return rows.mapInArrow(rate, "doc_id long, score double")
 
 
+def keep(documents: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows, with all their columns, whose text scores ``threshold`` or more."""
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch["text"]
+            scores = [net.score(Texts.of(values, a, b)) for a, b in slices(values, 1 << 18)]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
+
+    ship(documents.sparkSession)
+    return documents.mapInArrow(passing, documents.schema)
+
+
 def fit(documents: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Network:
     """The network trained on rows of the training folds."""
     known = labels.where(fold("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))

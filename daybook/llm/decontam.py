@@ -134,6 +134,12 @@ def _search_block(parts: list[Partition], n: int, percent: int):
     return read
 
 
+def clean(documents: DataFrame, items: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows, with all their columns, that contain no item; rows without ``doc_id`` cannot be named and stay."""
+    found = search(documents, items, n, percent).select(F.col("doc_id").alias("own_id")).distinct()
+    return documents.join(found, F.col("doc_id").cast("long") == F.col("own_id"), "left_anti")
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
