@@ -8,7 +8,7 @@ Labels come from ``labels``, through the document number that ends a url's path:
 anything else labelled is ``allow``. Urls with a host word of ``SEED_WORDS`` are labelled ``block`` too.
 
 A null url, or one without ``://``, has an empty host and path, no rule, and is allowed. Repeated rows are judged
-alike. Other columns are ignored; an empty table gives no rows. Without labels nothing is mined.
+alike. Other columns are ignored; an empty table gives no rows. With fewer than ``MIN_COUNT`` labelled urls nothing is mined.
 """
 
 from __future__ import annotations
@@ -87,9 +87,9 @@ def mine(examples: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     spark = examples.sparkSession
     baskets = examples.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
     n = baskets.count()
-    if not n:
+    if n < MIN_COUNT:
         return spark.createDataFrame([], "rule long, tokens array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_COUNT / n)), minConfidence=min_confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, MIN_COUNT / n), minConfidence=min_confidence).fit(baskets)
     concluding = model.associationRules.where(F.col("consequent") == F.array(F.lit(f"{_LABEL}block")))
     rules = saved(concluding.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"), "rules")
     rules = rules.withColumn("rule", F.xxhash64("tokens"))
