@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from daybook.catalog.registry import AS_OF, DAY, FREQUENT_SQL, SINCE, TODAY, exported, frequent_vehicle, query, trips
+from daybook.catalog.registry import AS_OF, DAY, FREQUENT_SQL, NOW, SINCE, TODAY, SampleLake, exported, frequent_vehicle, query, trips
 from daybook.functions.days import date_spine
 from daybook.operators import partitions
 from daybook.operators.erasure import count_by_identifier
@@ -18,7 +18,7 @@ from daybook.operators.reconcile import (
     with_empty_days,
 )
 from daybook.plans import workload
-from daybook.plans.jobs import high_watermark
+from daybook.plans.jobs import curate_days, export_days, high_watermark
 from daybook.schemas import TRIP_EVENTS
 from daybook.sources.events import FrameSource
 from daybook.sources.given import view
@@ -80,7 +80,10 @@ def q4(spark, sf):
     "trip_events",
 )
 def q7(spark, sf):
-    return workload.city_day(exported(spark, sf).curated.read(days=[DAY]), DAY)
+    lake = SampleLake(spark)
+    export_days(spark, FrameSource(trips(spark, sf), TRIP_EVENTS), lake.raw, lake.root, [DAY], now=NOW).raise_if_failed()
+    curate_days(spark, lake.raw, lake.curated, lake.root, [DAY], now=NOW).raise_if_failed()
+    return workload.city_day(lake.curated.read(days=[DAY]), DAY)
 
 
 @query("lookup_trip", f"SELECT {TRIP_COLUMNS} FROM trip_events WHERE trip_id = 42", "trip_events")

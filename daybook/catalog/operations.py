@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 
 from daybook.catalog.registry import SampleLake, exported, query, trips
 from daybook.operators import erasure, evidence, reports
-from daybook.schemas import ANPR_CAMERA_EVENTS, REWARD_LEDGER, TRIP_EVENTS
+from daybook.schemas import (
+    ACCOUNTS,
+    ANPR_CAMERA_EVENTS,
+    REFERENCE_FEED_CACHE,
+    REWARD_LEDGER,
+    TRIP_EVENTS,
+    ZONE_OCCUPANCY_HOURLY,
+)
 from daybook.sources.given import view
 from daybook.sources.operations import scan_query_stats, scan_run_log
 from daybook.tables.storage import Storage
@@ -172,38 +179,42 @@ def time_share(spark, sf):
     return reports.exec_time_share(view(spark, sf, "query_stats"))
 
 
+# The six tables of the inventory, with the given table that each is stored in.
+INVENTORIED = (
+    (TRIP_EVENTS, "events"), (ANPR_CAMERA_EVENTS, "events"), (ZONE_OCCUPANCY_HOURLY, "events"), (REWARD_LEDGER, "orders"),
+    (REFERENCE_FEED_CACHE, "documents"), (ACCOUNTS, "customer"),
+)
+_VIEWS = " ".join(spec.name for spec, _ in INVENTORIED)
+
+
 def _inventory(spark, sf, sized: bool):
     storage = Storage(spark)
-    tables = (("trip_events", TRIP_EVENTS, "events"), ("anpr_camera_events", ANPR_CAMERA_EVENTS, "events"),
-              ("reward_ledger", REWARD_LEDGER, "orders"))
     return reports.table_inventory(
         [
-            reports.Inventoried(spec, view(spark, sf, name), storage.usage(f"{sf}/{base}.parquet")[0] if sized else 0)
-            for name, spec, base in tables
+            reports.Inventoried(spec, view(spark, sf, spec.name), storage.usage(f"{sf}/{base}.parquet")[0] if sized else 0)
+            for spec, base in INVENTORIED
         ]
     )
 
 
-_INVENTORY_SQL = " UNION ALL ".join(
-    f"""SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT event_date) AS days,
-    count(*) / count(DISTINCT event_date) AS rows_per_day, '{key}' AS primary_key,
-    'event_date' AS partition_column, true AS personal_data FROM {name}"""
-    for name, key in (("trip_events", "trip_id"), ("anpr_camera_events", "event_id"), ("reward_ledger", "ledger_id"))
-)
+def _inventory_sql(spec) -> str:
+    has_day = "event_date" in spec.columns
+    days = "count(DISTINCT event_date)" if has_day else "cast(NULL AS bigint)"
+    return f"""SELECT '{spec.name}' AS table_name, count(*) AS row_count, {days} AS days,
+    count(*) / {days} AS rows_per_day, '{spec.primary_key}' AS primary_key,
+    {"'event_date'" if has_day else "cast(NULL AS varchar)"} AS partition_column,
+    {str(spec.identifier is not None).lower()} AS personal_data FROM {spec.name}"""
 
 
-@query("table_inventory", _INVENTORY_SQL, "trip_events anpr_camera_events reward_ledger")
+@query("table_inventory", " UNION ALL ".join(_inventory_sql(spec) for spec, _ in INVENTORIED), _VIEWS)
 def table_inventory(spark, sf):
     return _inventory(spark, sf, sized=False).drop("size_bytes")
 
 
 @query(
     "tables_by_rows",
-    " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-        for t in ("trip_events", "anpr_camera_events", "reward_ledger")
-    ),
-    "trip_events anpr_camera_events reward_ledger",
+    " UNION ALL ".join(f"SELECT '{s.name}' AS table_name, count(*) AS row_count FROM {s.name}" for s, _ in INVENTORIED),
+    _VIEWS,
 )
 def tables_by_rows(spark, sf):
     return reports.by_rows(_inventory(spark, sf, sized=False)).select("table_name", "row_count")

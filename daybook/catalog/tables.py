@@ -249,8 +249,7 @@ def expire_snapshots(spark, sf):
 def remove_orphans(spark, sf):
     raw = loaded(spark, sf).raw
     raw.delete_keys(frequent_vehicle(raw.read()), "vehicle_id_hash", now=NOW)
-    raw.expire(keep=1, now=NOW)
-    raw.remove_orphans()
+    raw.forget_history(NOW)
     return raw.read()
 
 
@@ -259,7 +258,7 @@ def drop_staging(spark, sf):
     # A batch that was written but never published leaves nothing behind.
     raw = loaded(spark, sf).raw
     abandoned = raw.stage(trips(spark, sf).withColumn("event_date", F.lit(dt.date(2023, 1, 1))), [dt.date(2023, 1, 1)])
-    raw.remove_orphans()
+    raw.remove_orphans(min_age=dt.timedelta(0))
     return raw.files().filter(F.col("commit") != abandoned.commit).select("day").distinct().unionByName(
         raw.files().filter(F.col("commit") == abandoned.commit).select("day").distinct()
     )
@@ -407,11 +406,11 @@ def exclude_synthetic(spark, sf):
 @query(
     "exclude_erased",
     f"""{ALL_TRIPS} WHERE vehicle_id_hash NOT IN
-      (SELECT identifier FROM erasure_requests WHERE identifier LIKE 'hash_veh_%' AND jurisdiction = 'IN')""",
+      (SELECT identifier FROM erasure_requests WHERE identifier LIKE 'hash_veh_%7' AND jurisdiction = 'IN')""",
     "trip_events erasure_requests",
 )
 def exclude_erased(spark, sf):
-    register = view(spark, sf, "erasure_requests").filter("identifier LIKE 'hash_veh_%' AND jurisdiction = 'IN'")
+    register = view(spark, sf, "erasure_requests").filter("identifier LIKE 'hash_veh_%7' AND jurisdiction = 'IN'")
     register = register.select(F.col("identifier").alias("vehicle_id_hash"))
     return without_erased(trips(spark, sf), register, "vehicle_id_hash")
 
@@ -475,33 +474,36 @@ def merge_schema(spark, sf):
     return conform(older, TRIP_EVENTS.schema).unionByName(conform(newer, TRIP_EVENTS.schema))
 
 
-@query(
-    "retention_by_class",
-    """SELECT 'ledger' AS data_class, ledger_id AS row_id, event_date FROM reward_ledger
-    WHERE event_date < DATE '2005-01-31' - INTERVAL 84 MONTHS
-    UNION ALL SELECT 'camera', event_id, event_date FROM anpr_camera_events
-    WHERE event_date < DATE '2005-01-31' - INTERVAL 12 MONTHS
-    UNION ALL SELECT 'trip', trip_id, event_date FROM trip_events WHERE event_date < DATE '2005-01-31' - 90""",
-    "reward_ledger anpr_camera_events trip_events",
+# Class, table, key, day expression, days and months kept. What is kept for ever has no entry.
+RETAINED = (
+    ("ledger", "reward_ledger", "ledger_id", "event_date", 0, 84),
+    ("camera", "anpr_camera_events", "event_id", "event_date", 0, 12),
+    ("trip", "trip_events", "trip_id", "event_date", 90, 0),
+    ("derived", "zone_occupancy_hourly", "occupancy_id", "cast(hour_ts AS date)", 0, 12),
 )
-def retention_by_class(spark, sf):
-    policy = spark.createDataFrame(
-        [("ledger", 0, 84), ("camera", 0, 12), ("trip", 90, 0)],
-        "data_class STRING, keep_days INT, keep_months INT",
-    )
+RETENTION_DAY = dt.date(2005, 1, 31)
 
-    def classed(name: str, table: str, key: str):
-        return view(spark, sf, table).select(
-            F.lit(name).alias("data_class"), F.col(key).alias("row_id"), "event_date"
-        )
 
-    rows = (
-        classed("ledger", "reward_ledger", "ledger_id")
-        .unionByName(classed("camera", "anpr_camera_events", "event_id"))
-        .unionByName(classed("trip", "trip_events", "trip_id"))
-    )
-    old = partitions.past_class_retention(rows, policy, dt.date(2005, 1, 31))
-    return old.select("data_class", "row_id", "event_date")
+def _retention_sql() -> str:
+    parts = [
+        f"""SELECT '{name}' AS data_class, {key} AS row_id, {day} AS event_date,
+        CASE WHEN city_code = 'CITY_ZZ' THEN NULL ELSE 'IN' END AS jurisdiction FROM {table}
+        WHERE {day} < DATE '2005-01-31' - {days} - INTERVAL {months} MONTHS"""
+        for name, table, key, day, days, months in RETAINED
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@query("retention_by_class", _retention_sql(), "reward_ledger anpr_camera_events trip_events zone_occupancy_hourly")
+def retention_by_class(spark, sf):
+    known = F.when(F.col("city_code") != "CITY_ZZ", F.lit("IN")).alias("jurisdiction")
+    out = None
+    for name, table, key, day, days, months in RETAINED:
+        rows = view(spark, sf, table).withColumn("event_date", F.expr(day))
+        old = partitions.past_retention(rows, "event_date", partitions.oldest_kept(RETENTION_DAY, days, months))
+        part = old.select(F.lit(name).alias("data_class"), F.col(key).alias("row_id"), "event_date", known)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(

@@ -4,41 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.tables.keys import sized, without
+from daybook.tables.keys import without
 
 # Fixed value: the city code of synthetic test rows.
 SYNTHETIC_CITY = "CITY_ZZ"
 
 
-# Both reductions are aggregates rather than windows: map tasks already keep one row per key, so a key with
-# very many copies never gathers in one task.
+# The reductions are aggregates rather than windows: map tasks already keep one row per key, so a key with
+# very many copies never gathers in one task. Only rows of repeated keys, found from the key columns alone,
+# are reduced; keys are nearly unique, so the rest passes through without a sort.
+
+
+def _repeated(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys with more than one row; only the key columns are read and shuffled."""
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select(*key)
+
+
+def _reduced(rows: DataFrame, key: Sequence[str], pick: Column) -> DataFrame:
+    """One row per key: ``pick`` (an aggregate of a row struct) among copies, single rows as they are."""
+    repeated = _repeated(rows, key)
+    unusable = F.lit(False)
+    for c in key:
+        unusable = unusable | F.col(c).isNull()
+    # Null keys match no join, so they are always reduced.
+    single = rows.filter(~unusable).join(repeated, list(key), "left_anti").select(*rows.columns)
+    several = rows.filter(~unusable).join(repeated, list(key), "left_semi").unionByName(rows.filter(unusable))
+    picked = several.groupBy(*key).agg(pick.alias("row")).select(*(F.col(f"row.{c}") for c in rows.columns))
+    return single.unionByName(picked)
 
 
 def one_per_key(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key, the smallest of its copies in column order."""
-    picked = rows.groupBy(*key).agg(F.min(F.struct(*rows.columns)).alias("row"))
-    return picked.select("row.*")
+    return _reduced(rows, key, F.min(F.struct(*rows.columns)))
 
 
 def latest_per_key(rows: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     """The row with the newest ``version`` per key; ties go to the largest row."""
     others = [c for c in rows.columns if c != version]
-    picked = rows.groupBy(*key).agg(F.max(F.struct(version, *others)).alias("row"))
-    return picked.select(*(F.col(f"row.{c}") for c in rows.columns))
+    return _reduced(rows, key, F.max(F.struct(version, *others)))
 
 
 def has_duplicates(rows: DataFrame, key: Sequence[str]) -> bool:
-    """Whether a key repeats; only the key columns are read and shuffled."""
-    repeated = rows.groupBy(*key).count().filter("count > 1")
-    return not repeated.isEmpty()
+    """Whether a key repeats."""
+    return not _repeated(rows, key).isEmpty()
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows an insert that ignores conflicts would add."""
-    return one_per_key(incoming, key).join(existing.select(*key), list(key), "left_anti").select(*incoming.columns)
+    """Rows an insert that ignores conflicts would add; stored keys drop out before copies are compared."""
+    fresh = incoming.join(existing.select(*key), list(key), "left_anti").select(*incoming.columns)
+    return one_per_key(fresh, key)
 
 
 def without_synthetic(rows: DataFrame) -> DataFrame:
@@ -52,7 +69,7 @@ def without_erased(rows: DataFrame, register: DataFrame, column: str) -> DataFra
 
 def with_jurisdiction(rows: DataFrame, cities: DataFrame) -> DataFrame:
     """Adds the jurisdiction of the row's city; ``cities`` has one row per city."""
-    return rows.join(sized(cities), "city_code", "left")
+    return rows.join(cities, "city_code", "left")
 
 
 def conform(rows: DataFrame, schema) -> DataFrame:

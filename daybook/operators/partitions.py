@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.days import date_spine, partition_date, partition_name
 from daybook.operators.evidence import NO_MANIFEST, NOT_SUCCESSFUL, PARSE_ERROR
-from daybook.tables.keys import sized, without
+from daybook.tables.keys import without
 
 
 def named(days: DataFrame) -> DataFrame:
@@ -22,12 +23,12 @@ def dated(names: DataFrame) -> DataFrame:
     return names.withColumn("event_date", partition_date(F.col("name"))).filter("event_date IS NOT NULL")
 
 
-def missing_partitions(calendar: DataFrame, existing: DataFrame) -> DataFrame:
-    return calendar.join(existing.select("event_date"), "event_date", "left_anti")
+def missing_partitions(days: DataFrame, existing: DataFrame) -> DataFrame:
+    return days.join(existing.select("event_date"), "event_date", "left_anti")
 
 
-def present_partitions(calendar: DataFrame, existing: DataFrame) -> DataFrame:
-    return calendar.join(existing.select("event_date"), "event_date", "left_semi")
+def present_partitions(days: DataFrame, existing: DataFrame) -> DataFrame:
+    return days.join(existing.select("event_date"), "event_date", "left_semi")
 
 
 def missing_future(existing: DataFrame, today: dt.date, lookahead: int) -> DataFrame:
@@ -41,9 +42,9 @@ def before_cutoff(days: DataFrame, today: dt.date, retention_days: int) -> DataF
     return days.filter(F.col("event_date") < F.lit(today - dt.timedelta(days=retention_days)))
 
 
-def rows_without_partition(rows: DataFrame, calendar: DataFrame) -> DataFrame:
+def rows_without_partition(rows: DataFrame, days: DataFrame) -> DataFrame:
     """Rows that fall into the catch-all because their day has no partition."""
-    return without(rows, calendar, "event_date")
+    return without(rows, days, "event_date")
 
 
 def retention_plan(days: DataFrame, manifests: DataFrame) -> DataFrame:
@@ -75,7 +76,14 @@ def counted(days: DataFrame, rows: DataFrame) -> DataFrame:
     return days.join(counts, "event_date", "left").fillna(0, ["row_count"])
 
 
-def past_class_retention(rows: DataFrame, policy: DataFrame, today: dt.date) -> DataFrame:
-    """Rows older than their data class keeps them; ``policy`` has one row per class."""
-    oldest_kept = F.add_months(F.date_sub(F.lit(today), F.col("keep_days")), -F.col("keep_months"))
-    return rows.join(sized(policy), "data_class").filter(F.col("event_date") < oldest_kept)
+def oldest_kept(today: dt.date, keep_days: int = 0, keep_months: int = 0) -> dt.date:
+    """First day that a retention period still covers."""
+    day = today - dt.timedelta(days=keep_days)
+    months = day.year * 12 + day.month - 1 - keep_months
+    year, month = divmod(months, 12)
+    return dt.date(year, month + 1, min(day.day, calendar.monthrange(year, month + 1)[1]))
+
+
+def past_retention(rows: DataFrame, day_column: str, cutoff: dt.date) -> DataFrame:
+    """Rows of a class that are older than it keeps them; the cutoff is a literal, so scans prune by it."""
+    return rows.filter(F.col(day_column) < F.lit(cutoff))

@@ -14,7 +14,6 @@ from daybook.operators import evidence
 from daybook.operators.erasure import count_by_identifier, screen
 from daybook.operators.evidence import utc
 from daybook.tables.daytable import DayTable, SnapshotNotFound
-from daybook.tables.keys import sized
 
 RESULT_SCHEMA = (
     "request_ref STRING, identifier STRING, database STRING, table_name STRING, rows_before BIGINT, "
@@ -90,7 +89,7 @@ def erase_from(target: Target, keys: DataFrame, now: dt.datetime | None = None)
     if target.identifiers is None:
         mapped = keys.select("identifier", F.col("identifier").try_cast(key_type).alias(column))
     else:
-        mapped = target.identifiers.join(sized(keys), "identifier").select("identifier", column)
+        mapped = target.identifiers.join(keys, "identifier").select("identifier", column)
     # As many entries as there are requests, or keys of theirs.
     pairs = mapped.filter(F.col(column).isNotNull()).collect()
     results = {identifier: TableResult() for identifier in requested}
@@ -106,8 +105,7 @@ def erase_from(target: Target, keys: DataFrame, now: dt.datetime | None = None)
             if not before:
                 # An earlier attempt may have stopped between the delete and the cleaning up.
                 if table.history_holds(own_keys, column):
-                    table.expire(keep=1, now=now)
-                    table.remove_orphans()
+                    table.forget_history(now)
                 for result in results.values():
                     result.success = True
                 return results
@@ -115,8 +113,7 @@ def erase_from(target: Target, keys: DataFrame, now: dt.datetime | None = None)
             table.delete_keys(own_keys, column, hits, now)
         finally:
             hits.unpersist()
-        table.expire(keep=1, now=now)
-        table.remove_orphans()
+        table.forget_history(now)
         after = {r[0]: r.rows for r in count_by_identifier(table.read(), own_keys, column).collect()}
         blocked = _unreadable(table, previous)
     except Exception as failure:  # noqa: BLE001 - recorded against the request

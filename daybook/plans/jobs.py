@@ -17,7 +17,6 @@ from daybook.operators.evidence import utc
 from daybook.operators.reconcile import count_checksum
 from daybook.plans.hop import RunReport, copy_days
 from daybook.tables.daytable import DayTable
-from daybook.tables.keys import sized
 
 
 # ---- export and backfill ---------------------------------------------------------------------------
@@ -120,8 +119,8 @@ def compact(
     """Expire old snapshots, remove unreferenced files, publish bytes per storage prefix."""
     rows = []
     for table in tables:
-        expired = table.expire(keep, max_age, now)
-        rows.append((table.spec.name, len(expired), table.remove_orphans()))
+        expired, removed = table.forget_history(now, keep, max_age)
+        rows.append((table.spec.name, len(expired), removed))
     reports.publish_storage(spark, lake, utc(now))
     return spark.createDataFrame(rows, "table_name STRING, snapshots_expired INT, paths_removed INT")
 
@@ -132,9 +131,7 @@ def merge_small_files(table: DayTable, target_bytes: int = 256 * 1024**2, now: d
     Rows of a partition that deserves n files are spread over n tasks by a hash of the key.
     """
     spec = table.spec
-    live = {(e.commit, e.day) for e in table.snapshot().live}
-    stored = table.spark.createDataFrame(list(live), "commit STRING, day DATE")
-    listed = table.files().join(sized(stored), ["commit", "day"], "left_semi")
+    listed = table.live_files()
     parts = list(spec.partition_columns)
     sizes = (
         listed.groupBy(*(_partition_value(spec, c).alias(c) for c in parts))
@@ -149,7 +146,7 @@ def merge_small_files(table: DayTable, target_bytes: int = 256 * 1024**2, now: d
     tasks = plan.agg(F.sum("wanted")).first()[0]
     slot = F.pmod(F.xxhash64(spec.primary_key), F.coalesce("wanted", F.lit(1)))
     rows = (
-        table.read(days=days).join(sized(plan), parts, "left").withColumn("slot", slot)
+        table.read(days=days).join(plan, parts, "left").withColumn("slot", slot)
         .repartition(int(tasks), *parts, "slot").select(*spec.columns)
     )
     return table.replace_days(rows, days, operation="merge_files", rebalance=False, now=now)

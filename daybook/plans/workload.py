@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.values import exact_mean, exact_sum
-from daybook.tables.keys import fits_broadcast
 
 
 def trips_with_cameras(trips: DataFrame, cameras: DataFrame, since: dt.date) -> DataFrame:
@@ -57,20 +56,15 @@ def city_since(trips: DataFrame, since: dt.date) -> DataFrame:
 def ledger_by_city(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     """Entries and amounts per the account's city and ledger type.
 
-    With few accounts the ledger is never shuffled: accounts are broadcast and entries summed in place.
-    With many, entries are first summed per account, so an account with very many is one row in the join.
+    Entries are first summed per account, so an account with very many is one row in the join.
     """
     cities = accounts.select("account_id", F.col("city_code").alias("account_city"))
-    if fits_broadcast(cities):
-        entries = ledger.select("account_id", "ledger_type", F.lit(1).cast("bigint").alias("n"), "amount")
-        joined = entries.join(F.broadcast(cities), "account_id")
-    else:
-        entries = ledger.groupBy("account_id", "ledger_type").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")
-        )
-        joined = entries.join(cities, "account_id")
+    entries = ledger.groupBy("account_id", "ledger_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")
+    )
     return (
-        joined.groupBy(F.col("account_city").alias("city_code"), "ledger_type")
+        entries.join(cities, "account_id")
+        .groupBy(F.col("account_city").alias("city_code"), "ledger_type")
         .agg(F.sum("n").alias("entries"), F.sum("amount").cast("decimal(20,2)").alias("amount"))
         .orderBy("city_code", "ledger_type")
     )

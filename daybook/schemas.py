@@ -104,17 +104,32 @@ ACCOUNT_SNAPSHOTS = TableSpec(
     identifier="account_id",
 )
 
-ZONE_OCCUPANCY_HOURLY = _schema(
-    occupancy_id="long",
-    city_code="string",
-    zone_id="string",
-    hour_ts="timestamp_ntz",
-    occupancy_pct="double",
+ACCOUNTS = TableSpec(
+    "accounts",
+    _schema(account_id="long", email_hash="string", city_code="string", status="string"),
+    "account_id",
+    identifier="email_hash",
 )
 
-REFERENCE_FEED_CACHE = _schema(
-    cache_id="long",
-    provider="string",
-    city_code="string",
-    payload_summary="string",
+ZONE_OCCUPANCY_HOURLY = TableSpec(
+    "zone_occupancy_hourly",
+    _schema(
+        occupancy_id="long",
+        city_code="string",
+        zone_id="string",
+        hour_ts="timestamp_ntz",
+        occupancy_pct="double",
+    ),
+    "occupancy_id",
+)
+
+REFERENCE_FEED_CACHE = TableSpec(
+    "reference_feed_cache",
+    _schema(
+        cache_id="long",
+        provider="string",
+        city_code="string",
+        payload_summary="string",
+    ),
+    "cache_id",
 )

@@ -23,8 +23,8 @@ from daybook.schemas import TableSpec
 from daybook.tables.keys import matching, without
 from daybook.tables.storage import Entry, Storage, each
 
-# A delete names single files in the log up to this many; days beyond it are rewritten whole.
-MAX_LISTED_FILES = 20_000
+# Files that no snapshot ever named may belong to a batch that is still being written; they stay this long.
+ORPHAN_AGE = dt.timedelta(days=1)
 
 SNAPSHOT_SCHEMA = (
     "snapshot_id BIGINT, parent_id BIGINT, committed_at TIMESTAMP, operation STRING, days ARRAY<DATE>, "
@@ -265,6 +265,9 @@ class DayTable:
         self, staged: Staged, replaced: Iterable[dt.date], operation: str, now: dt.datetime | None = None
     ) -> Commit:
         """Make staged rows visible; they take the place of everything stored for ``replaced``."""
+        lost = [d for d in sorted(staged.days) if not self.storage.exists(self._directory(staged.commit, d))]
+        if lost:
+            raise BadBatch(f"{self.spec.name}: staged files of {len(lost)} day(s) are gone, {lost[0]} first")
         parent = self.snapshot()
         gone = frozenset(replaced)
         live = [e for e in parent.live if e.day not in gone]
@@ -340,24 +343,16 @@ class DayTable:
         parent = self.snapshot()
         if hits is None:
             hits = self.key_hits(keys, column)
-        totals = hits.groupBy("day").agg(F.count_distinct("file").alias("files"), F.sum("rows").alias("rows")).collect()
+        totals = hits.groupBy("day").agg(F.sum("rows").alias("rows")).collect()
         if not totals:
             return None
-        per_day = {r.day: r.files for r in totals}
+        per_day = {r.day for r in totals}
         touched = [e for e in parent.live if e.day in per_day]
         names = dict(zip(touched, each(self._file_names, touched)))
-        by_name = self._days_by_name(per_day, names)
-        hit_files: set[str] = set()
-        if by_name:
-            # No more names than MAX_LISTED_FILES: the days were chosen for that.
-            found = hits.filter(F.col("day").isin(sorted(by_name))).select("file").distinct().collect()
-            hit_files = {r.file for r in found}
+        hit_files = {r.file for r in hits.select("file").distinct().collect()}
         kept = [e for e in parent.live if e.day not in per_day]
         rewritten: list[Live] = []
         for entry in touched:
-            if entry.day not in by_name:
-                rewritten.append(entry)
-                continue
             hit = tuple(f for f in names[entry] if f in hit_files)
             if not hit:
                 kept.append(entry)
@@ -378,19 +373,13 @@ class DayTable:
         snapshot_id = self._publish(parent, kept, parent.days, "delete", now)
         return Commit(snapshot_id, staged.rows, staged.checksum, staged.days)
 
-    @staticmethod
-    def _days_by_name(hit: dict[dt.date, int], names: dict[Live, tuple[str, ...]]) -> set[dt.date]:
-        """Days where naming the files that stay is worth it: few of many are hit, and the log stays small."""
-        stored = dict.fromkeys(hit, 0)
-        for entry, files in names.items():
-            stored[entry.day] += len(files)
-        chosen: set[dt.date] = set()
-        budget = MAX_LISTED_FILES
-        for day in sorted(hit, key=lambda d: hit[d] / max(stored[d], 1)):
-            if hit[day] * 2 <= stored[day] <= budget:
-                chosen.add(day)
-                budget -= stored[day]
-        return chosen
+    def _last_change(self, entry: Entry) -> dt.datetime:
+        """Newest change at or below a commit folder: its own, its days' and their partitions'."""
+        latest, level = entry.modified, [entry]
+        for _ in range(1 + len(self.spec.partition_columns)):
+            level = [child for e in level if e.is_dir for child in self.storage.list(e.path)]
+            latest = max([latest, *(e.modified for e in level)])
+        return latest
 
     def _file_names(self, entry: Live) -> tuple[str, ...]:
         """Encoded names of an entry's files, as ``file_name`` gives them."""
@@ -443,17 +432,55 @@ class DayTable:
             "bytes",
         )
 
+    @staticmethod
+    def _named(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """What snapshots refer to: whole days of a commit, and single files."""
+        refs = snapshots.select(F.explode("live").alias("e")).select("e.*")
+        whole = refs.filter(F.col("files").isNull()).select("commit", "day").distinct()
+        return whole, refs.filter(F.col("files").isNotNull()).select(F.explode("files").alias("file")).distinct()
+
     def orphan_files(self) -> DataFrame:
         """Data files that no retained snapshot refers to."""
-        refs = self.snapshots().select(F.explode("live").alias("e")).select("e.*")
-        whole = refs.filter(F.col("files").isNull()).select("commit", "day").distinct()
-        single = refs.filter(F.col("files").isNotNull()).select(F.explode("files").alias("file")).distinct()
+        whole, single = self._named(self.snapshots())
         return (
             self.files().join(whole, ["commit", "day"], "left_anti").join(single, "file", "left_anti")
         )
 
-    def remove_orphans(self) -> int:
-        """Delete what no retained snapshot refers to, abandoned writes included. Returns deleted paths."""
+    def live_files(self) -> DataFrame:
+        """Data files of the newest snapshot."""
+        newest = self.snapshots().filter(F.col("snapshot_id") == F.lit(self.snapshot().snapshot_id))
+        whole, single = self._named(newest)
+        files = self.files()
+        return files.join(whole, ["commit", "day"], "left_semi").select(*files.columns).unionByName(
+            files.join(single, "file", "left_semi").select(*files.columns)
+        )
+
+    def published_commits(self) -> frozenset[str]:
+        """Commits that a retained snapshot refers to."""
+        ids = self.snapshot_ids()
+        return frozenset(e.commit for snapshot in each(self.snapshot, ids) for e in snapshot.live)
+
+    def forget_history(
+        self, now: dt.datetime | None = None, keep: int = 1, max_age: dt.timedelta = dt.timedelta(0)
+    ) -> tuple[list[int], int]:
+        """Expire old snapshots and delete the files only they had, at any age. Returns ids and deleted paths."""
+        published = self.published_commits()
+        expired = self.expire(keep, max_age, now)
+        return expired, self.remove_orphans(published=published)
+
+    def remove_orphans(
+        self, min_age: dt.timedelta = ORPHAN_AGE, published: frozenset[str] = frozenset(), now: dt.datetime | None = None
+    ) -> int:
+        """Delete what no retained snapshot refers to. Returns deleted paths.
+
+        Paths of ``published`` commits go at any age; others, abandoned writes or batches in flight, must
+        not have changed for ``min_age``.
+        """
+        newest = (now or utc_now()) - min_age
+
+        def may_go(entry: Entry, commit: str) -> bool:
+            return commit in published or self._last_change(entry) <= newest
+
         whole: set[tuple[str, dt.date]] = set()
         single: dict[tuple[str, dt.date], set[str]] = {}
         for snapshot_id in self.snapshot_ids():
@@ -470,7 +497,7 @@ class DayTable:
             commit = entry.name.removeprefix("commit=")
             if commit in used:
                 kept_commits.append(entry.path)
-            else:
+            elif may_go(entry, commit):
                 doomed.append(entry.path)
         prefix = f"{self.spec.date_column}="
         for path, children in zip(kept_commits, each(self.storage.list, kept_commits)):

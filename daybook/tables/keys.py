@@ -1,44 +1,20 @@
-"""Joins against a small side whose size is checked before it is broadcast."""
+"""Rows whose key is, or is not, in a list of keys. One plan at any size; Spark picks the join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys up to here go into the scan as a filter, where row-group statistics and dictionaries prune.
-MAX_FILTER_KEYS = 10
-# Rows up to here (identifiers are at most 128 characters) are broadcast; more are shuffled.
-MAX_BROADCAST_ROWS = 1_000_000
 
-
-def fits_broadcast(side: DataFrame) -> bool:
-    """Counted where the rows are, nothing is gathered."""
-    return side.count() <= MAX_BROADCAST_ROWS
-
-
-def sized(side: DataFrame) -> DataFrame:
-    """``side`` marked for broadcast when it is small enough, otherwise left to a shuffled join."""
-    return F.broadcast(side) if fits_broadcast(side) else side
-
-
-def _keys(keys: DataFrame, column: str) -> tuple[DataFrame, list | None]:
-    """Distinct keys, and their values when there are only a few."""
-    distinct = keys.select(column).where(F.col(column).isNotNull()).distinct()
-    few = distinct.limit(MAX_FILTER_KEYS + 1).collect()
-    return distinct, [r[0] for r in few] if len(few) <= MAX_FILTER_KEYS else None
+def _distinct(keys: DataFrame, column: str) -> DataFrame:
+    return keys.select(column).where(F.col(column).isNotNull()).distinct()
 
 
 def matching(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` is one of ``keys``."""
-    distinct, few = _keys(keys, column)
-    if few is not None:
-        return rows.filter(F.col(column).isin(few))
-    return rows.join(sized(distinct), column, "left_semi").select(*rows.columns)
+    return rows.join(_distinct(keys, column), column, "left_semi").select(*rows.columns)
 
 
 def without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """Rows whose ``column`` is none of ``keys``; rows without a value stay."""
-    distinct, few = _keys(keys, column)
-    if few is not None:
-        return rows.filter(~F.coalesce(F.col(column).isin(few), F.lit(False)))
-    return rows.join(sized(distinct), column, "left_anti").select(*rows.columns)
+    return rows.join(_distinct(keys, column), column, "left_anti").select(*rows.columns)

@@ -118,6 +118,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """New folder for throwaway tables, below ``spark.checkpoint.dir`` so that every executor sees it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         return tempfile.mkdtemp(prefix=f"run-{label}-")
     folder = f"{shared.rstrip('/')}/run-{label}-{uuid.uuid4().hex[:12]}"
     Storage(spark).make_dirs(folder)

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.schemas import TRIP_EVENTS
-from daybook.tables import daytable, keys
 from daybook.tables.daytable import BadBatch, DayTable, SnapshotNotFound
 from tests.fixture import D15, D16, NOW, TRIPS, ids, trips
 
@@ -69,8 +68,7 @@ def test_awkward_partition_values_survive(spark, raw):
     raw.replace_days(trips(spark, rows), [D15], now=NOW)
     assert {r.city_code for r in raw.read().collect()} == set(cities)
     raw.delete_keys(spark.createDataFrame([("v1",)], "vehicle_id_hash STRING"), "vehicle_id_hash", now=NOW)
-    raw.expire(keep=1)
-    raw.remove_orphans()
+    raw.forget_history()
     assert {r.city_code for r in raw.read().collect()} == set(cities[::2])
 
 
@@ -136,17 +134,13 @@ def spread(spark, raw):
     return raw
 
 
-@pytest.mark.parametrize("bounds", [(10, 1_000_000), (0, 1_000_000), (0, 0)])
 @pytest.mark.parametrize("gone", [["v3"], ["v3", "v13", "v7"], [f"v{i}" for i in range(0, 20, 2)]])
-def test_delete_against_brute_force(spark, spread, monkeypatch, bounds, gone):
-    monkeypatch.setattr(keys, "MAX_FILTER_KEYS", bounds[0])
-    monkeypatch.setattr(keys, "MAX_BROADCAST_ROWS", bounds[1])
+def test_delete_against_brute_force(spark, spread, gone):
     want = [i for i in range(200) if f"v{i % 20}" not in gone]
     spread.delete_keys(_key(spark, *gone), "vehicle_id_hash", now=NOW)
     assert ids(spread.read()) == want
     assert ids(spread.read(version=2)) == list(range(200))
-    spread.expire(keep=1)
-    spread.remove_orphans()
+    spread.forget_history()
     assert ids(spread.read()) == want
 
 
@@ -157,18 +151,10 @@ def test_delete_rewrites_only_the_files_it_hits(spark, spread):
     assert len(before & after) == len(before) - 1
     spread.delete_keys(_key(spark, "v4"), "vehicle_id_hash", now=NOW)
     assert len(before & set(spread.read().inputFiles())) == len(before) - 2
-    spread.expire(keep=1)
-    assert spread.remove_orphans() == 2
+    assert spread.forget_history()[1] == 2
     assert ids(spread.read()) == [i for i in range(200) if i % 20 not in (3, 4)]
 
 
-def test_a_full_log_falls_back_to_whole_days(spark, spread, monkeypatch):
-    monkeypatch.setattr(daytable, "MAX_LISTED_FILES", 5)
-    spread.delete_keys(_key(spark, "v3"), "vehicle_id_hash", now=NOW)
-    assert all(e.files is None for e in spread.snapshot().live)
-    assert ids(spread.read()) == [i for i in range(200) if i % 20 != 3]
-
-
 def test_expire_keeps_the_newest_and_the_young(spark, full):
     full.drop_days([D16], now=NOW + dt.timedelta(days=1))
     full.replace_days(trips(spark, TRIPS[5:]), [D16], now=NOW + dt.timedelta(days=2))
@@ -184,12 +170,31 @@ def test_orphans_never_touch_the_live_read(spark, full):
     assert full.orphan_files().count() == 2
     full.expire(keep=1)
     assert full.orphan_files().count() == 3
-    assert full.remove_orphans() > 0
+    assert full.remove_orphans() == 1  # the dropped day; the young batch may be in flight
+    assert full.orphan_files().count() == 2
+    assert full.remove_orphans(min_age=dt.timedelta(0)) > 0
     assert full.orphan_files().count() == 0
     assert ids(full.read()) == [1, 2, 3, 4, 5]
     assert full.files().count() == 1
 
 
+def test_hygiene_leaves_a_batch_in_flight_alone(spark, full):
+    staged = full.stage(trips(spark, TRIPS[:2]), [D15])
+    full.replace_days(trips(spark, TRIPS[5:]), [D16], now=NOW)
+    expired, removed = full.forget_history(NOW + dt.timedelta(days=30))
+    assert len(expired) == 2 and removed == 1  # the replaced day goes, the staged batch stays
+    full.publish(staged, [D15], "replace", NOW)
+    assert ids(full.read()) == [1, 2, 6]
+
+
+def test_a_batch_whose_files_are_gone_cannot_be_published(spark, full):
+    staged = full.stage(trips(spark, TRIPS[:2]), [D15])
+    full.remove_orphans(min_age=dt.timedelta(0))
+    with pytest.raises(BadBatch, match="are gone"):
+        full.publish(staged, [D15], "replace", NOW)
+    assert ids(full.read()) == [1, 2, 3, 4, 5, 6]
+
+
 def test_append_adds_to_a_day(spark, full):
     full.append(trips(spark, [(9, *TRIPS[0][1:])]), [D15], now=NOW)
     assert ids(full.read()) == [1, 2, 3, 4, 5, 6, 9]

@@ -177,6 +177,9 @@ def test_merging_files_keeps_the_rows(spark, raw):
     assert len(raw.read().inputFiles()) == 2
     assert ids(raw.read()) == [1, 2, 3, 4, 6]
     assert merge_small_files(raw, now=NOW) is None
+    # Files that a delete has replaced are still stored, but they are not the table's.
+    raw.delete_keys(spark.createDataFrame([(TRIPS[0][1],)], "vehicle_id_hash STRING"), "vehicle_id_hash", now=NOW)
+    assert merge_small_files(raw, now=NOW) is None
 
 
 # ---- migration -------------------------------------------------------------------------------------

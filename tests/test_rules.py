@@ -10,7 +10,6 @@ from daybook.plans import workload
 from daybook.schemas import TRIP_EVENTS
 from daybook.sources.events import JdbcSource, ParquetSource
 from daybook.sources.operations import scan_run_log
-from daybook.tables import keys
 from tests.fixture import D15, D16, TRIPS, ids, trips
 
 REQUESTS = [
@@ -123,9 +122,7 @@ def test_pairs_are_counted_without_being_formed(spark):
         assert out[city] == (len(pairs), len(set(pairs)))
 
 
-@pytest.mark.parametrize("bound", [0, 1_000_000])
-def test_ledger_is_the_same_with_few_and_many_accounts(spark, monkeypatch, bound):
-    monkeypatch.setattr(keys, "MAX_BROADCAST_ROWS", bound)
+def test_ledger_against_brute_force(spark):
     ledger = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 100).alias("account_id"),
         F.when(F.col("id") % 2 == 0, "reward").otherwise("penalty").alias("ledger_type"),
