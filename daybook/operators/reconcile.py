@@ -58,11 +58,3 @@ def mismatch_text() -> Column:
             "source_count", "source_checksum", "lake_count", "lake_checksum",
         ),
     )
-
-
-def strict_fingerprint(rows: DataFrame) -> DataFrame:
-    """Per-day fingerprint over whole rows, for checks that must also notice swapped values."""
-    row_hash = F.xxhash64(*rows.columns).cast("decimal(38,0)")
-    return rows.groupBy("event_date").agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum(row_hash).alias("fingerprint")
-    )

@@ -19,6 +19,8 @@ RESULT_SCHEMA = (
     "event_date DATE, row_count BIGINT, checksum BIGINT, duration_seconds DOUBLE, success BOOLEAN, error STRING"
 )
 
+UNFINISHED = "the run has not finished"
+
 
 class RunFailed(RuntimeError):
     """At least one day of a run did not come through."""
@@ -74,11 +76,13 @@ def copy_days(
 
     All days go through one write. When that fails the days are split in halves until the ones that
     cannot be copied stand alone, so a bad day does not stop the others. Every day gets a manifest,
-    failed ones too, so that older evidence of success never outlives a failure.
+    failed ones too. Before a day is touched its manifest says that the run has not finished, so older
+    evidence of success never outlives a failure, or a driver that is lost on the way.
     """
     report = RunReport(run_id or str(uuid.uuid4()), target.spec.name, evidence.utc(now))
     target.create(now)
     pending = [sorted(set(days))]
+    _write_manifests(spark, lake, report, [DayResult(d, error=UNFINISHED) for d in pending[0]])
     while pending:
         chunk = pending.pop()
         if not chunk:
@@ -97,8 +101,8 @@ def copy_days(
         for result in results:
             result.duration_seconds = share
         report.results += results
+        _write_manifests(spark, lake, report, results)
     report.results.sort(key=lambda r: r.event_date)
-    _write_manifests(spark, lake, report)
     return report
 
 
@@ -132,7 +136,7 @@ def _first_line(failure: Exception) -> str:
     return (str(failure).strip() or type(failure).__name__).splitlines()[0]
 
 
-def _write_manifests(spark: SparkSession, lake: str, report: RunReport) -> None:
+def _write_manifests(spark: SparkSession, lake: str, report: RunReport, results: Sequence[DayResult]) -> None:
     evidence.write(
         spark,
         lake,
@@ -152,6 +156,6 @@ def _write_manifests(spark: SparkSession, lake: str, report: RunReport) -> None:
                     "error": r.error or None,
                 },
             )
-            for r in report.results
+            for r in results
         ),
     )

@@ -162,6 +162,8 @@ def _partition_value(spec, column: str):
 
 # ---- trim ------------------------------------------------------------------------------------------
 
+COUNT_DIFFERS = "row count differs from the manifest"
+
 
 @dataclass
 class TrimReport:
@@ -193,15 +195,19 @@ def trim(
     run_id: str | None = None,
     now: dt.datetime | None = None,
     table: str = "trip_events",
+    require_equal_counts: bool = False,
 ) -> TrimReport:
-    """Create the coming days' partitions, drop old ones that provably reached the lake, record both."""
+    """Create the coming days' partitions, drop old ones that provably reached the lake, record both.
+
+    With ``require_equal_counts`` a day stays when its rows are not as many as its manifest says.
+    """
     if retention_days <= 0 or lookahead_days <= 0:
         raise ValueError("retention and lookahead must be positive numbers of days")
     started = time.monotonic()
     report = TrimReport([], [], [])
     error = None
     try:
-        _trim(spark, hot, lake, today, retention_days, lookahead_days, now, table, report)
+        _trim(spark, hot, lake, today, retention_days, lookahead_days, now, table, report, require_equal_counts)
     except Exception as failure:
         error = str(failure).splitlines()[0] if str(failure) else type(failure).__name__
         raise
@@ -222,7 +228,7 @@ def trim(
     return report
 
 
-def _trim(spark, hot, lake, today, retention_days, lookahead_days, now, table, report) -> None:
+def _trim(spark, hot, lake, today, retention_days, lookahead_days, now, table, report, require_equal_counts) -> None:
     existing = day_frame(spark, hot.days())
     created = partitions.named(partitions.missing_future(existing, today, lookahead_days)).collect()
     hot.add_days([r.event_date for r in created], now)
@@ -237,8 +243,10 @@ def _trim(spark, hot, lake, today, retention_days, lookahead_days, now, table, r
     if recorded:
         rows = hot.read(days=recorded).select("event_date")
         counts = partitions.counted(day_frame(spark, recorded), rows).orderBy("event_date").collect()
-        hot.drop_days(recorded, "trim", now)
-        report.dropped += [(r.event_date, r.row_count, recorded[r.event_date]) for r in counts]
+        changed = [r.event_date for r in counts if require_equal_counts and r.row_count != recorded[r.event_date]]
+        report.skipped = sorted(report.skipped + [(d, COUNT_DIFFERS) for d in changed])
+        hot.drop_days(set(recorded) - set(changed), "trim", now)
+        report.dropped += [(r.event_date, r.row_count, recorded[r.event_date]) for r in counts if r.event_date not in changed]
 
 
 def day_frame(spark: SparkSession, days) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import evidence
 from daybook.plans import erase as erase_plan
+from daybook.plans import hop
 from daybook.plans.erase import Target, erase
 from daybook.plans.hop import RunFailed
 from daybook.plans.jobs import (
@@ -264,6 +265,28 @@ def test_retention_gate(spark, lake_root):
     assert summary["partitions_dropped"][0] == {"date": "2026-01-01", "row_count": 1}
 
 
+def test_trim_can_insist_on_equal_counts(spark, lake_root):
+    hot = DayTable(spark, f"{lake_root}/hot/trip_events", TRIP_EVENTS).create(NOW)
+    hot.replace_days(trips(spark), [D15, D16], now=NOW)
+    raw = DayTable(spark, f"{lake_root}/raw/trip_events", TRIP_EVENTS)
+    export_days(spark, FrameSource(trips(spark, TRIPS[1:]), TRIP_EVENTS), raw, lake_root, [D15, D16], now=NOW)
+    report = trim(spark, hot, lake_root, D16 + dt.timedelta(days=9), 3, 2, now=NOW, require_equal_counts=True)
+    assert [d for d, _, _ in report.dropped] == [D16]
+    assert report.skipped == [(D15, "row count differs from the manifest")]
+    assert ids(hot.read()) == [1, 2, 3, 4, 5]
+
+
+def test_a_run_that_is_lost_leaves_no_old_success(spark, lake_root, monkeypatch):
+    raw = DayTable(spark, f"{lake_root}/raw/trip_events", TRIP_EVENTS)
+    source = FrameSource(trips(spark), TRIP_EVENTS)
+    export_days(spark, source, raw, lake_root, [D15, D16], now=NOW).raise_if_failed()
+    monkeypatch.setattr(hop, "_copy_chunk", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        export_days(spark, source, raw, lake_root, [D15, D16], now=NOW)
+    found = evidence.scan_run_manifests(spark, lake_root, "trip_events")
+    assert found.count() == 2 and evidence.successful_days(found).count() == 0
+
+
 def test_trim_counts_add_up(spark, lake_root):
     """362 partitions, 31 of the old ones proven, 14 new days: 345 remain."""
     hot = DayTable(spark, f"{lake_root}/hot/trip_events", TRIP_EVENTS).create(NOW)
