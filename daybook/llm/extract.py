@@ -28,10 +28,10 @@ from daybook.llm.common import ship, table
 from daybook.llm.dom import GOLD, Page
 
 TRAIN_PAGES = 200
-LAYOUTS = 500
-TREES = 40
+LAYOUTS = 900
+TREES = 90
 DEPTH = 4
-RATE = 0.25
+RATE = 0.3
 BINS = 32
 PAGES_AT_ONCE = 64
 
@@ -115,6 +115,7 @@ TOPS = (
     '<div id="header" data-y="0"><div class="logo">{2}</div>{1}</div>', '<header class="site-header" data-y="0"><p>{2}</p></header>',
     '<div class="navbar" data-y="0">{1}</div>', '<div class="breadcrumb" data-y="0">{1}</div>', '<ul class="nav" data-y="0">{1}</ul>',
     '<div class="cookie-notice" data-y="0"><p>{2}</p><button>OK</button></div>', '<div class="alert notice" data-y="0">{2}</div>',
+    '<header data-y="0"><h1>{2}</h1><p>{3}</p></header>', '<menu data-y="0"><li>{3}</li><li>{2}</li></menu>',
     '<div id="cookie-consent" role="dialog" data-y="0"><p>{0}</p></div>', '<div class="topbar" data-y="0">{2}</div>',
 )
 MIDDLES = (
@@ -122,6 +123,8 @@ MIDDLES = (
     '<div class="share-buttons" data-y="0">{1}</div>', '<div class="newsletter" data-y="0"><p>{2}</p><form><input><button>Go</button></form></div>',
     '<div class="promo" data-y="0">{2}</div>', '<aside class="related" data-y="0"><h3>{3}</h3>{1}</aside>', '<form data-y="0"><label>{3}</label><input></form>',
     '<div class="sponsored" data-y="0"><p>{0}</p></div>', '<div id="ad-1" data-y="0">{2}</div>',
+    '<aside data-y="0">{0}</aside>', '<aside data-y="0">{2}</aside>', '<div role="alert" data-y="0">{0}</div>', '<div class="notice" data-y="0"><p>{0}</p></div>',
+    '<nav data-y="0">{1}</nav>', '<div class="share" data-y="0">{3}</div>', '<div class="author-bio" data-y="0">{2}</div>',
 )
 ENDS = (
     '<aside class="sidebar" data-y="0"><h3>{3}</h3><p>{0}</p>{1}</aside>', '<div class="sidebar" data-y="0"><div class="widget"><p>{2}</p></div>{1}</div>',
@@ -151,19 +154,28 @@ def layout(texts: list[str], rng: random.Random) -> str:
         many = "</p><p>".join(some() for _ in range(rng.choice((1, 1, 2))))
         return template.format(many, f"<ul>{links}</ul>", short(), short())
 
+    tag = rng.choice(("p",) * 6 + ("div",))
+
     def part() -> str:
         kind = rng.random()
-        if kind < 0.75:
-            return f"<p>{some()}</p>"
+        if kind < 0.7:
+            return f"<{tag}>{some()}</{tag}>"
+        if kind < 0.76:
+            return f"<h2>{short()}</h2><{tag}>{some()}</{tag}>"
+        if kind < 0.8:
+            return f"<ul><li>{some()}</li><li>{short()}</li></ul>"
         if kind < 0.85:
-            return f"<h2>{short()}</h2><p>{some()}</p>"
+            return rng.choice(("<blockquote><p>{0}</p></blockquote>", "<blockquote>{0}</blockquote>", "<pre>{0}</pre>")).format(some())
+        if kind < 0.88:
+            return f"<figure><img src=x><figcaption>{short()}</figcaption></figure>"
         if kind < 0.9:
-            return f"<ul><li>{some()}</li><li>{short()}</li></ul>"
-        if kind < 0.95:
-            return f"<blockquote><p>{some()}</p></blockquote>"
+            return f"<table><tr><td>{short()}</td><td>{some()}</td></tr></table>"
         return fill(rng.choice(MIDDLES))
 
-    main = f"<h1>{short()}</h1>" + "".join(part() for _ in range(rng.choice((1, 2, 3, 5, 8, 13))))
+    title = rng.choice(("<h1>{0}</h1>",) * 4 + ("<header><h1>{0}</h1></header>", '<div class="title"><h1>{0}</h1></div>', "<h2>{0}</h2>", ""))
+    main = title.format(short()) + "".join(part() for _ in range(rng.choice((1, 2, 3, 5, 8, 13))))
+    if rng.random() < 0.25:
+        main += fill(rng.choice(ENDS))
     if rng.random() < 0.3:
         main = main.replace("<p>", '<p class="text">')
     body = "".join(fill(t) for t in rng.sample(TOPS, rng.randint(1, 3)))
