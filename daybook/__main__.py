@@ -9,9 +9,19 @@ import sys
 from pyspark.sql import SparkSession
 
 from daybook.functions.days import parse_day, run_days
-from daybook.lake import day_table
+from daybook.lake import day_table, personal_tables
 from daybook.plans.erase import Target, erase
-from daybook.plans.jobs import backfill, compact, curatable_days, curate_days, day_frame, export_days, migrate, trim
+from daybook.plans.jobs import (
+    backfill,
+    compact,
+    curatable_days,
+    curate_days,
+    day_frame,
+    export_days,
+    migrate,
+    snapshot_accounts,
+    trim,
+)
 from daybook.schemas import TRIP_EVENTS
 from daybook.session import build_session
 from daybook.sources.events import JdbcSource, ParquetSource
@@ -46,16 +56,22 @@ def _parser() -> argparse.ArgumentParser:
     hygiene = job("compact", "expire snapshots, remove unreferenced files, publish storage bytes")
     hygiene.add_argument("--keep", type=int, default=1)
     hygiene.add_argument("--max-age-days", type=int, default=5)
+    hygiene.add_argument("--merge-to-mb", type=int, help="first merge small files up to this size")
     trimming = job("trim", "create coming partitions, drop exported old ones")
     trimming.add_argument("--today", type=parse_day)
     trimming.add_argument("--retention-days", type=int, default=90)
     trimming.add_argument("--lookahead-days", type=int, default=14)
+    trimming.add_argument("--require-equal-counts", action="store_true", help="keep days whose count differs from the manifest")
     erasure = job("erase", "delete an identifier everywhere and verify it")
     erasure.add_argument("--identifier", required=True)
     erasure.add_argument("--request-ref", required=True)
     erasure.add_argument("--jurisdiction", default="")
+    erasure.add_argument("--account-id", type=int, help="the person's account, for tables kept by account")
     migration = job("migrate", "rewrite an unpartitioned dataset as the hot table")
     migration.add_argument("--parquet", required=True)
+    accounts = job("snapshot-accounts", "copy all accounts into raw as one day")
+    accounts.add_argument("--parquet", required=True)
+    accounts.add_argument("--day", type=parse_day, required=True)
     return parser
 
 
@@ -83,16 +99,25 @@ def run(argv: list[str], spark: SparkSession | None = None):
             days = [r.event_date for r in ready.collect()]
         return curate_days(spark, raw, curated, lake, days).raise_if_failed()
     if args.job == "compact":
-        return compact(spark, [raw, curated], lake, args.keep, dt.timedelta(days=args.max_age_days))
+        merge_to = args.merge_to_mb * 1024**2 if args.merge_to_mb else None
+        return compact(spark, [raw, curated], lake, args.keep, dt.timedelta(days=args.max_age_days), merge_to=merge_to)
+    if args.job == "snapshot-accounts":
+        target = day_table(spark, lake, "raw", "account_snapshots")
+        return snapshot_accounts(spark.read.parquet(args.parquet), target, args.day)
     if args.job == "trim":
         today = args.today or dt.datetime.now(dt.timezone.utc).date()
-        return trim(spark, hot, lake, today, args.retention_days, args.lookahead_days)
+        return trim(spark, hot, lake, today, args.retention_days, args.lookahead_days, require_equal_counts=args.require_equal_counts)
     if args.job == "erase":
         request = spark.createDataFrame(
             [(args.identifier, args.request_ref, args.jurisdiction)],
             "identifier STRING, request_ref STRING, jurisdiction STRING",
         )
-        done = erase(spark, lake, request, [Target("raw", raw), Target("curated", curated)])
+        account = spark.createDataFrame([(args.identifier, args.account_id)], "identifier STRING, account_id BIGINT")
+        targets = [
+            Target(zone, table, account if table.spec.identifier == "account_id" else None)
+            for zone, table in personal_tables(spark, lake)
+        ]
+        done = erase(spark, lake, request, targets)
         failed = done.filter("NOT success").collect()
         if failed:
             raise RuntimeError("; ".join(f"{r.database}.{r.table_name}: {r.error}" for r in failed))

@@ -10,8 +10,8 @@ from daybook.catalog.analytics import TRIP_COLUMNS
 from daybook.catalog.registry import DAY, FREQUENT_SQL, NOW, SampleLake, day_range, exported, frequent_vehicle, loaded, query, trips
 from daybook.operators import evidence
 from daybook.plans.erase import Target, erase
-from daybook.plans.jobs import compact, curate_days, export_days, trim
-from daybook.schemas import ANPR_CAMERA_EVENTS, REWARD_LEDGER_MONTHLY, TRIP_EVENTS
+from daybook.plans.jobs import compact, curate_days, export_days, snapshot_accounts, trim
+from daybook.schemas import ACCOUNT_SNAPSHOTS, ANPR_CAMERA_EVENTS, REWARD_LEDGER_MONTHLY, TRIP_EVENTS
 from daybook.sources.events import FrameSource
 from daybook.sources.given import view
 from daybook.tables.daytable import DayTable
@@ -196,8 +196,9 @@ def write_erasure_manifest(spark, sf):
     """SELECT table_name, rows_before, cast(0 AS bigint) AS rows_after_delete, true AS success FROM (
       SELECT 'trip_events' AS table_name, count(*) AS rows_before FROM trip_events WHERE vehicle_id_hash = 'hash_veh_000007'
       UNION ALL SELECT 'anpr_camera_events', count(*) FROM anpr_camera_events WHERE vehicle_id_hash = 'hash_veh_000007'
-      UNION ALL SELECT 'reward_ledger', count(*) FROM reward_ledger WHERE account_id = 7)""",
-    "trip_events anpr_camera_events reward_ledger",
+      UNION ALL SELECT 'reward_ledger', count(*) FROM reward_ledger WHERE account_id = 7
+      UNION ALL SELECT 'account_snapshots', count(*) FROM accounts WHERE account_id = 7)""",
+    "trip_events anpr_camera_events reward_ledger accounts",
 )
 def erase_all_personal_tables(spark, sf):
     lake = loaded(spark, sf)
@@ -207,10 +208,12 @@ def erase_all_personal_tables(spark, sf):
     cameras.replace_days(seen, day_range(seen), now=NOW)
     entries = view(spark, sf, "reward_ledger").withColumn("event_month", F.trunc("event_date", "month"))
     ledger.replace_days(entries, [r[0] for r in entries.select("event_month").distinct().collect()], now=NOW)
+    people = DayTable(spark, f"{lake.root}/raw/account_snapshots", ACCOUNT_SNAPSHOTS)
+    snapshot_accounts(view(spark, sf, "accounts"), people, DAY, NOW)
     account = spark.createDataFrame([("hash_veh_000007", 7)], "identifier STRING, account_id BIGINT")
     request = spark.createDataFrame(
         [("hash_veh_000007", "REQ-ALL-7", "")], "identifier STRING, request_ref STRING, jurisdiction STRING"
     )
-    targets = [Target("raw", lake.raw), Target("raw", cameras), Target("raw", ledger, account)]
+    targets = [Target("raw", lake.raw), Target("raw", cameras), Target("raw", ledger, account), Target("raw", people, account)]
     done = erase(spark, lake.root, request, targets, now=NOW)
     return done.select("table_name", "rows_before", "rows_after_delete", "success")

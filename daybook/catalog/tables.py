@@ -31,7 +31,7 @@ from daybook.operators.changes import (
     without_synthetic,
 )
 from daybook.operators.evidence import successful_days, parse_run_manifests, scan_run_manifests
-from daybook.plans.jobs import curatable_days, day_frame, merge_small_files, migrate
+from daybook.plans.jobs import curatable_days, day_frame, merge_small_files, migrate, snapshot_accounts
 from daybook.schemas import ACCOUNT_SNAPSHOTS, TRIP_EVENTS
 from daybook.sources.events import FrameSource, ParquetSource
 from daybook.sources.given import view
@@ -514,9 +514,9 @@ def retention_by_class(spark, sf):
 def account_snapshot(spark, sf):
     table = DayTable(spark, f"{SampleLake(spark).root}/raw/accounts", ACCOUNT_SNAPSHOTS).create(NOW)
     day = dt.date(2024, 1, 31)
-    today = view(spark, sf, "accounts").withColumn("snapshot_date", F.lit(day))
-    table.replace_days(today.filter("status = 'active'"), [day], now=NOW)
-    table.replace_days(today, [day], now=NOW)
+    accounts = view(spark, sf, "accounts")
+    snapshot_accounts(accounts.filter("status = 'active'"), table, day, NOW)
+    snapshot_accounts(accounts, table, day, NOW)
     return table.read()
 
 

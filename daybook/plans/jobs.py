@@ -105,6 +105,13 @@ def curatable_days(spark: SparkSession, lake: str, raw_table: str, days: DataFra
     return days.join(done, "event_date", "left_semi")
 
 
+def snapshot_accounts(accounts: DataFrame, target: DayTable, day: dt.date, now: dt.datetime | None = None):
+    """All accounts as the partition of one day; a second run on that day replaces it."""
+    target.create(now)
+    rows = accounts.withColumn(target.spec.date_column, F.lit(day))
+    return target.replace_days(rows, [day], "snapshot", now=now)
+
+
 # ---- hygiene ---------------------------------------------------------------------------------------
 
 
@@ -115,10 +122,16 @@ def compact(
     keep: int = 1,
     max_age: dt.timedelta = dt.timedelta(days=5),
     now: dt.datetime | None = None,
+    merge_to: int | None = None,
 ) -> DataFrame:
-    """Expire old snapshots, remove unreferenced files, publish bytes per storage prefix."""
+    """Expire old snapshots, remove unreferenced files, publish bytes per storage prefix.
+
+    With ``merge_to`` days with small files are rewritten first, aiming at files of so many bytes.
+    """
     rows = []
     for table in tables:
+        if merge_to:
+            merge_small_files(table, merge_to, now)
         expired, removed = table.forget_history(now, keep, max_age)
         rows.append((table.spec.name, len(expired), removed))
     reports.publish_storage(spark, lake, utc(now))

@@ -442,6 +442,13 @@ def test_command_line(spark, lake_root):
     erased = run(["erase", "--lake", lake, "--identifier", "hash_veh_aaa111", "--request-ref", "REQ-1"], spark)
     assert [r.rows_before for r in erased.collect()] == [2, 2]
     assert run(["compact", "--lake", lake, "--max-age-days", "0"], spark).count() == 2
+    accounts = spark.createDataFrame([(7, "h", "BLR", "active"), (8, "i", "DEL", "active")], "account_id LONG, email_hash STRING, city_code STRING, status STRING")
+    accounts.write.parquet(f"{lake_root}/accounts")
+    for _ in range(2):
+        assert run(["snapshot-accounts", "--lake", lake, "--parquet", f"{lake_root}/accounts", "--day", "2026-01-15"], spark).rows == 2
+    gone = run(["erase", "--lake", lake, "--identifier", "hash_veh_bbb222", "--request-ref", "REQ-2", "--account-id", "7"], spark)
+    assert {(r.table_name, r.rows_before, r.rows_after_delete) for r in gone.collect()} >= {("account_snapshots", 1, 0), ("trip_events", 1, 0)}
+    assert run(["compact", "--lake", lake, "--merge-to-mb", "64"], spark).count() == 2
     assert run(["migrate", "--lake", lake, "--parquet", f"{lake_root}/source"], spark).first().row_count == 6
     done = run(["trim", "--lake", lake, "--today", "2026-01-20", "--retention-days", "4"], spark)
     assert [d for d, _, _ in done.dropped] == [D15]
