@@ -6,8 +6,8 @@ is a candidate when it has one of them. Items are partitioned by size; a partiti
 q / 100) + 1 of q hashes, so that a contained item must show at least one: candidates lose nothing, however long the
 document. Documents with too few shingles for a partition skip it. Every candidate is verified on all of its shingles.
 
-Items are searched in blocks of ``BLOCK`` items, each block against all documents; only a block's hashes (bounded by
-``BLOCK`` and ``ITEM_WORDS``, and checked) go to the tasks.
+Items are searched in blocks, each against all documents; a block ends at ``BLOCK`` items or ``BLOCK_HASHES`` hashes, and
+only a block's hashes go to the tasks.
 
 An item or document with fewer words than a shingle is one shingle. Items and documents that are null, empty or without words
 match nothing. A null or repeated id is kept as it is: rows of equal (doc_id, item_id) may repeat when their inputs do.
@@ -29,8 +29,8 @@ from daybook.llm.text import U64, Texts, shingle_sets
 
 WORDS = 5
 PERCENT = 75
-BLOCK = 2_000
-BLOCK_HASHES = 2_000_000  # of a block's items together; a block with more is halved
+BLOCK = 50_000
+BLOCK_HASHES = 2_000_000  # of a block's items together
 
 FOUND = "doc_id long, item_id long, item_shingles long, shared_shingles long"
 
@@ -88,12 +88,14 @@ def _blocks(items: DataFrame, n: int) -> Iterator[tuple[list[int | None], list[n
     rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL")
     ids: list[int | None] = []
     sets: list[np.ndarray] = []
+    hashes = 0
     for row in rows.toLocalIterator():
         ids.append(row["item_id"])
         sets += shingle_sets(Texts.of(pa.array([row["text"]]), 0, 1).lowered(), n)
-        if len(ids) >= BLOCK or sum(map(len, sets)) > BLOCK_HASHES:
+        hashes += len(sets[-1])
+        if len(ids) >= BLOCK or hashes > BLOCK_HASHES:
             yield ids, sets
-            ids, sets = [], []
+            ids, sets, hashes = [], [], 0
     if ids:
         yield ids, sets
 
@@ -142,19 +144,3 @@ def clean(documents: DataFrame, items: DataFrame, n: int = WORDS, percent: int =
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-
-
-_WORDS_SQL = "list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
-
-OP6_SQL = f"""
-WITH d AS (SELECT doc_id AS id, {_WORDS_SQL} AS w FROM documents),
-b AS (SELECT item_id AS id, {_WORDS_SQL} AS w FROM benchmark),
-ds AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
-                                  WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) AS s FROM d),
-bs AS (SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
-                                  WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) AS s FROM b),
-size AS (SELECT id, count(*) AS q FROM bs GROUP BY id),
-hits AS (SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY ds.id, bs.id)
-SELECT doc_id, item_id, q AS item_shingles, shared AS shared_shingles
-FROM hits JOIN size ON size.id = item_id WHERE 100 * shared >= 75 * q
-"""

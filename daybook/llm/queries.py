@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm.brown import op4_lm_scoring
 from daybook.llm.cnn import op9_quality_classifier
-from daybook.llm.decontam import OP6_SQL, op6_benchmark_decontamination
+from daybook.llm.decontam import op6_benchmark_decontamination
 from daybook.llm.extract import op1_html_extraction
 from daybook.llm.jaccard import op8_ngram_jaccard_join
 from daybook.llm.langid import op5_language_id
 from daybook.llm.packing import op10_best_fit_packing
 from daybook.llm.rules import op2_quality_rules
 from daybook.llm.secrets import op7_secret_scan
+from daybook.llm.sql import OP6_SQL, OP8_SQL
 from daybook.llm.urls import op3_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -35,4 +36,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op6_benchmark_decontamination": OP6_SQL,
+    "op8_ngram_jaccard_join": OP8_SQL,
 }
