@@ -42,7 +42,7 @@ TOKENS = (
     ("ad", "ads", "advert", "advertisement", "adsense", "sponsor", "sponsored", "promo", "promotion", "banner", "commercial"),
     ("form", "search", "newsletter", "subscribe", "signup", "login", "register", "contact", "feedback", "input"),
     ("comment", "comments", "reply", "replies", "discussion", "disqus", "respond", "reader", "commentlist", "thread"),
-    ("share", "social", "related", "recommended", "tags", "meta", "byline", "popular", "trending", "links", "more", "follow", "recent"),
+    ("share", "social", "related", "recommended", "tags", "meta", "byline", "popular", "trending", "links", "more", "follow", "recent", "author", "bio"),
 )
 KIND_OF = {tag: i for i, tags in enumerate(KINDS) for tag in tags}
 TOKEN_OF: dict[str, list[int]] = {}
