@@ -104,6 +104,41 @@ def test_join_on_given_tables(spark):
     assert joined(docs) == brute_components([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_bucket_pairs_however_batches_are_cut():
+    import pyarrow as pa
+
+    class Index:
+        def mapInArrow(self, read, schema):
+            return read
+
+    read = jaccard.candidates(Index(), 75)
+    rng = random.Random(3)
+    for _ in range(100):
+        distinct = sorted({(k, 90 + o % 15, o) for k in range(5) for o in rng.sample(range(300), rng.choice([1, 2, 5, 16, 17, 40]))})
+        rows = [r for r in distinct for _ in range(rng.choice([1, 1, 3]))]
+        cuts = sorted(rng.sample(range(len(rows) + 1), min(len(rows), rng.randint(0, 8))))
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int32()), pa.array([r[2] for r in part], pa.int64())],
+                names=["key", "n", "set_id"],
+            )
+            for part in (rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True))
+        ]
+        pairs, members = set(), set()
+        for out in read(iter(batches)):
+            for kind, x, y in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                (members if kind == jaccard.MEMBER else pairs).add((x, y))
+        expected, large = set(), set()
+        for key in range(5):
+            own = [o for k, _, o in distinct if k == key]
+            if len(own) <= jaccard.SMALL:
+                expected |= {(min(a, b), max(a, b)) for a in own for b in own if a != b}
+            else:
+                large |= {(key, o) for o in own}
+                expected |= {(min(a, b), max(a, b)) for a, b in zip(own, own[1:])} | {(min(own[0], b), max(own[0], b)) for b in own[1:]}
+        assert (pairs, members) == (expected, large)
+
+
 def test_sketch_distance_is_a_lower_bound():
     import numpy as np
 
