@@ -46,8 +46,10 @@ def job_curate_day(spark, sf):
 
 @query(
     "job_compact",
-    """SELECT table_name, CASE WHEN (SELECT count(*) FROM trip_events) > 0 THEN expired END AS snapshots_expired
-    FROM (VALUES ('trip_events', 3), ('trip_events_curated', 1)) v(table_name, expired)""",
+    # The replaced day's files go, and nothing of the curated table.
+    """SELECT table_name, CASE WHEN (SELECT count(*) FROM trip_events) > 0 THEN expired END AS snapshots_expired,
+      removed * (SELECT cast(count(DISTINCT event_date) AS integer) FROM trip_events WHERE event_date = DATE '2024-01-15') AS paths_removed
+    FROM (VALUES ('trip_events', 3, 1), ('trip_events_curated', 1, 0)) v(table_name, expired, removed)""",
     "trip_events",
 )
 def job_compact(spark, sf):
@@ -56,7 +58,7 @@ def job_compact(spark, sf):
     lake.raw.drop_days([DAY], now=NOW)
     lake.raw.replace_days(trips(spark, sf).filter(F.col("event_date") == F.lit(DAY)), [DAY], now=NOW)
     done = compact(spark, [lake.raw, lake.curated], lake.root, now=NOW + dt.timedelta(days=30))
-    return done.select("table_name", "snapshots_expired")
+    return done.select("table_name", "snapshots_expired", "paths_removed")
 
 
 def _trimmed(spark, sf):
