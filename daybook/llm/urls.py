@@ -1,8 +1,11 @@
 """URL filter: fixed host and path rules first, mined association rules for the rest. DataFrame operations only.
 
-Labelled urls are transactions of url tokens plus their label. FP-growth mines token combinations; kept are rules that
-conclude ``block`` with at least ``MIN_CONFIDENCE`` and ``MIN_SUPPORT``, without those that a shorter kept rule
-implies. An inverted index from token to rules matches them: a rule fires when a url has all of its tokens.
+Labelled urls are transactions of tokens of the whole url plus their label. Mined are token combinations that conclude
+``block`` with at least ``MIN_CONFIDENCE`` and ``MIN_SUPPORT``, without those that a shorter kept rule implies: first
+single tokens by counts, then FP-growth over the urls and tokens that no single token decides. Tokens that stand in exactly the same
+labelled urls are one item there, and any of them stands for it when rules are matched, so that long urls repeated
+often do not make every subset of their words an item set. An inverted index from token to rules matches them: a
+rule fires when a url has all of its tokens.
 
 Labels come from ``labels``, through the document number that ends a url's path: low quality or toxic is ``block``,
 anything else labelled is ``allow``. Urls with a host word of ``SEED_WORDS`` are labelled ``block`` too.
@@ -31,11 +34,19 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-# Host words of sites that sell and never publish prose.
-SEED_WORDS = ("casino", "bets", "pills", "ads")
+# Host words by the kinds of site that public block lists keep: adult, gambling, pharmacy, advertising and tracking, fraud, pirated goods.
+SEED_WORDS = tuple(
+    "adult porn porno xxx sex sexy erotic escort escorts nude camgirls hentai fetish "
+    "casino casinos gambling gamble bet bets betting poker slots roulette blackjack jackpot bingo lottery lotto bookmaker "
+    "pill pills pharmacy pharma viagra cialis tramadol xanax steroids "
+    "ad ads adserver adserv advert adverts advertising banners doubleclick popads popunder tracker trackers clicktrack affiliate affiliates "
+    "spam spammer phishing scam malware spyware adware botnet "
+    "warez crack cracks keygen torrent torrents replica replicas payday".split()
+)
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LABEL = "label="
+_BETWEEN = r"[^\p{L}\p{N}]+"  # what separates the words of a path segment
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -58,17 +69,27 @@ def fixed_rule(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column
 
 
 def tokens(host: Column, path: Column, url: Column) -> Column:
-    """Distinct tokens: the host's words, the first folder, the file's ending, names of query fields."""
-    words = F.filter(F.split(host, r"[.-]"), lambda x: x != "")
-    folder = F.regexp_extract(path, r"^/([^/0-9]+)/", 1)
-    ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
-    fields = F.expr(r"regexp_extract_all(coalesce(url, ''), '[?&]([^=&#]+)=', 1)")
-    found = F.concat(
-        F.transform(words, lambda x: F.concat(F.lit("word="), x)),
-        F.array(F.concat(F.lit("folder="), folder), F.concat(F.lit("ending="), ending)),
-        F.transform(fields, lambda x: F.concat(F.lit("field="), x)),
-    )
-    return F.array_distinct(F.filter(found, lambda x: ~x.isin("folder=", "ending=")))
+    """Distinct tokens: the host's words, path segments and their words, the file's ending, query names, values and the fragment."""
+
+    def lower(x: Column) -> Column:
+        return F.translate(x, _UPPER, _LOWER)
+
+    def tagged(tag: str, words: Column) -> Column:
+        return F.transform(F.filter(words, lambda x: x != ""), lambda x: F.concat(F.lit(tag), x))
+
+    ending = lower(F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1))
+    stem = F.regexp_replace(lower(path), r"\.[a-z0-9]{1,5}$", "")
+    segments = F.split(stem, "/")
+    slugs = F.flatten(F.transform(F.filter(segments, lambda x: x.rlike(_BETWEEN)), lambda x: F.split(x, _BETWEEN)))
+    fields = F.regexp_extract_all(F.regexp_extract(F.coalesce(url, F.lit("")), r"\?([^#]*)", 1), F.lit("[^&;]+"), F.lit(0))
+    fragment = lower(F.regexp_extract(F.coalesce(url, F.lit("")), "#(.*)$", 1))
+    values = F.transform(fields, lambda x: F.when(F.locate("=", x) > 0, lower(x)).otherwise(F.lit("")))
+    return F.array_distinct(F.concat(
+        tagged("word=", F.split(host, r"[.-]")),
+        tagged("segment=", segments), tagged("slug=", slugs), tagged("ending=", F.array(ending)),
+        tagged("field=", F.transform(fields, lambda x: lower(F.substring_index(x, "=", 1)))),
+        tagged("value=", values), tagged("fragment=", F.array(fragment)),
+    ))
 
 
 def labelled(urls: DataFrame, labels: DataFrame) -> DataFrame:
@@ -83,33 +104,62 @@ def labelled(urls: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def mine(examples: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (rule, tokens, confidence, support) that conclude ``block``, without those a shorter rule implies."""
+    """Rules that conclude ``block`` (rule, tokens, members, confidence, support), without those a shorter rule implies.
+
+    ``members`` has, for each of ``tokens``, all tokens that may stand for it.
+    """
     spark = examples.sparkSession
-    baskets = examples.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
-    n = baskets.count()
+    rows = saved(examples.withColumn("row", F.monotonically_increasing_id()), "examples")
+    n = rows.count()
     if n < MIN_COUNT:
-        return spark.createDataFrame([], "rule long, tokens array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, MIN_COUNT / n), minConfidence=min_confidence).fit(baskets)
-    concluding = model.associationRules.where(F.col("consequent") == F.array(F.lit(f"{_LABEL}block")))
-    rules = saved(concluding.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"), "rules")
-    rules = rules.withColumn("rule", F.xxhash64("tokens"))
+        return spark.createDataFrame([], "rule long, tokens array<string>, members array<array<string>>, confidence double, support double")
+    least = max(min_support * n, MIN_COUNT)
+    spread = rows.select("row", "label", F.explode(F.array_distinct("tokens")).alias("token"))
+    counts = spread.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == "block").alias("blocked"),
+        F.bit_xor(F.xxhash64("row")).alias("rows"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("rows_again"),
+    )
+    # A rule's tokens stand in as many blocked urls as the rule does: at most the mean size of a url over MIN_SUPPORT tokens are left.
+    counts = saved(counts.where(F.col("blocked") >= least), "tokens").withColumn("confidence", F.col("blocked") / F.col("n"))
+    alone = counts.where(F.col("confidence") >= min_confidence).select(
+        F.array("token").alias("tokens"), F.array(F.array("token")).alias("members"), "confidence", (F.col("blocked") / n).alias("support")
+    )
+    # Rules with a token that is a rule alone are implied by it. The other tokens are combined, on the urls that no single
+    # token decides: those it does would lend their label to whatever else they share with innocent ones.
+    items = counts.where(F.col("confidence") < min_confidence).groupBy("n", "rows", "rows_again").agg(
+        F.min("token").alias("item"), F.sort_array(F.collect_list("token")).alias("members")
+    )
+    items = saved(items.select("item", "members"), "items")
+    decided = spread.join(alone.select(F.element_at("tokens", 1).alias("token")), "token").select("row").distinct()
+    left = spread.join(decided, "row", "left_anti")
+    held = left.join(items.select("item", F.explode("members").alias("token")), "token")
+    baskets = saved(held.groupBy("row", "label").agg(F.collect_set("item").alias("items")), "baskets")
+    baskets = baskets.select(F.concat("items", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
+    rules = alone
+    if filled := baskets.count():
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / filled), minConfidence=min_confidence).fit(baskets)
+        concluding = model.associationRules.where(F.col("consequent") == F.array(F.lit(f"{_LABEL}block")))
+        found = saved(concluding.select(F.array_sort("antecedent").alias("tokens"), "confidence", F.col("support") * filled / n), "rules")
+        found = found.toDF("tokens", "confidence", "support")
+        named = found.select("tokens", F.explode("tokens").alias("item")).join(items, "item")
+        named = named.groupBy("tokens").agg(F.sort_array(F.collect_list(F.struct("item", "members"))).alias("m"))
+        rules = alone.unionByName(found.join(named.select("tokens", F.col("m.members").alias("members")), "tokens"))
+    rules = saved(rules.withColumn("rule", F.xxhash64("tokens")), "rules")
     # A rule is implied when another has fewer tokens, all among its own: found by the inverted index, too.
-    index = _index(rules)
-    held = rules.select(F.col("rule").alias("long"), F.size("tokens").alias("width"), F.explode("tokens").alias("token"))
-    met = held.join(index, "token").where("size < width").groupBy("long", "rule", "size").agg(F.count(F.lit(1)).alias("n"))
+    index = rules.select("rule", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+    long = rules.select(F.col("rule").alias("long"), F.size("tokens").alias("width"), F.explode("tokens").alias("token"))
+    met = long.join(index, "token").where("size < width").groupBy("long", "rule", "size").agg(F.count(F.lit(1)).alias("n"))
     implied = met.where("n = size").select(F.col("long").alias("rule")).distinct()
-    return saved(rules.join(implied, "rule", "left_anti").select("rule", "tokens", "confidence", "support"), "rules")
-
-
-def _index(rules: DataFrame) -> DataFrame:
-    return rules.select("rule", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+    return saved(rules.join(implied, "rule", "left_anti").select("rule", "tokens", "members", "confidence", "support"), "rules")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct urls that have all tokens of a rule."""
+    places = rules.select("rule", F.size("tokens").alias("size"), F.posexplode("members").alias("place", "members"))
+    index = places.select("rule", "size", "place", F.explode("members").alias("token"))
     spread = urls.select("url", F.explode("tokens").alias("token"))
-    hits = spread.join(_index(rules), "token").groupBy("url", "rule", "size").agg(F.count(F.lit(1)).alias("n"))
-    return hits.where("n = size").select("url").distinct()
+    hits = spread.join(index, "token").groupBy("url", "rule", "size").agg(F.collect_set("place").alias("places"))
+    return hits.where(F.size("places") == F.col("size")).select("url").distinct()
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: tuple = RULES) -> DataFrame:

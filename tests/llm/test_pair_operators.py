@@ -220,6 +220,33 @@ def test_url_rules_are_mined_and_pruned(spark):
     assert {r["url"] for r in urls.matched(listed, mined).collect()} == {"u1"}
 
 
+def test_url_tokens_cover_the_whole_url_and_labels_make_rules(spark):
+    def url(k):
+        # Bad are the pages whose slug says so, whatever their host, and those of one query value in one section.
+        if k % 4 == 0:
+            return f"https://h{k % 9}.example.net/a/win-big-cash/{k}"
+        return f"https://h{k % 9}.example.net/{'shop' if k % 3 else 'news'}/{k}?sort={'Hot' if k % 5 == 1 else 'new'}"
+
+    bad = {k for k in range(600) if k % 4 == 0 or (k % 3 and k % 5 == 1)}
+    pages = spark.createDataFrame([(k, url(k)) for k in range(600)] + [(601, "http://new.example.net/x/big-cash/9001"), (602, "http://www.adult-x.example.net/9002")], "page_id long, url string")
+    known = spark.createDataFrame([(k, int(k not in bad), 0) for k in range(0, 600)], "doc_id long, quality int, toxic int")
+    found = {r["page_id"]: r["verdict"] for r in urls.judge(pages, known, ()).collect()}
+    assert {k for k in range(600) if found[k] == "block"} == bad
+    assert found[601] == "block"  # words of the slug, on a host never seen
+    assert found[602] == "allow"  # one row is no support
+    more = spark.createDataFrame([(k, f"http://www.adult-x.example.net/{k}") for k in range(700, 720)], "page_id long, url string")
+    assert {r["verdict"] for r in urls.judge(more, known, ()).collect()} == {"block"}
+
+
+def test_url_of_many_words_repeated_often(spark):
+    words = [f"slug=w{k}" for k in range(40)]
+    rows = [([*words, f"word=h{k % 2}"], "block" if k % 4 else "allow") for k in range(400)] + [([f"word=h{k % 2}"], "allow") for k in range(800)]
+    mined = urls.mine(spark.createDataFrame(rows, "tokens array<string>, label string"))
+    assert {len(r["tokens"]) for r in mined.collect()} == {2}  # h1 with any of the words
+    listed = spark.createDataFrame([("u1", ["slug=w3", "word=h1"]), ("u2", ["slug=w39", "word=h1"]), ("u3", ["slug=w3", "slug=w39"])], "url string, tokens array<string>")
+    assert {r["url"] for r in urls.matched(listed, mined).collect()} == {"u1", "u2"}
+
+
 def gold(page):
     inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
     parts = [html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))) for b in re.split(r"</?(?:p|h1)[^>]*>", inner)]
