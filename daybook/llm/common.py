@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from daybook.tables.storage import scratch_folder
 
+ROW_KEY = "__row_key"
+
 _shipped: set[str] = set()
 
 
@@ -42,6 +44,11 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def keyed(frame: DataFrame, label: str) -> DataFrame:
+    """The rows with a key of their own in ``ROW_KEY``, written out once so that every later read sees the same keys."""
+    return saved(frame.withColumn(ROW_KEY, F.monotonically_increasing_id()), label)
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of an id as text, modulo ``parts``; a null id counts as the text ``null``."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null"))) % parts

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import ship, slices, table
+from daybook.llm.common import ROW_KEY, keyed, ship, slices, table
 from daybook.llm.text import U64, Texts, shingle_sets
 
 WORDS = 5
@@ -112,34 +112,66 @@ def search(documents: DataFrame, items: DataFrame, n: int = WORDS, percent: int
     return out
 
 
-def _search_block(parts: list[Partition], n: int, percent: int):
-    schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "item_id", "item_shingles", "shared_shingles")])
+def _finder(parts: list[Partition], n: int, percent: int):
+    """A function that gives, for a column of texts, each row that contains items, and those items."""
     # Every sketch hash at once: most documents have none of them.
     every = np.unique(np.concatenate([p.sketch for p in parts])) if parts else np.zeros(0, U64)
 
+    def find(column: pa.Array) -> Iterator[tuple[int, list[tuple[int | None, int, int]]]]:
+        if not len(every):
+            return
+        for a, b in slices(column):
+            texts = Texts.of(column, a, b).lowered()
+            hashes, first = texts.windows(n)
+            hit = np.zeros(len(texts), dtype=bool)
+            hit[texts.word_text[first[every[np.minimum(np.searchsorted(every, hashes), len(every) - 1)] == hashes]]] = True
+            hit |= texts.word_counts < n  # these are one shingle, which is not a window
+            for i in np.flatnonzero(hit & (texts.word_counts > 0)):
+                own = shingle_sets(Texts.of(column, a + i, a + i + 1).lowered(), n)[0]
+                if items := [item for part in parts for item in contained(own, part, percent)]:
+                    yield a + i, items
+
+    return find
+
+
+def _search_block(parts: list[Partition], n: int, percent: int):
+    schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "item_id", "item_shingles", "shared_shingles")])
+    find = _finder(parts, n, percent)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for a, b in slices(batch["text"]):
-                texts = Texts.of(batch["text"], a, b).lowered()
-                hashes, first = texts.windows(n)
-                hit = np.zeros(len(texts), dtype=bool)
-                hit[texts.word_text[first[every[np.minimum(np.searchsorted(every, hashes), len(every) - 1)] == hashes]]] = True
-                hit |= texts.word_counts < n  # these are one shingle, which is not a window
-                for i in np.flatnonzero(hit & (texts.word_counts > 0)) if len(every) else []:
-                    own = shingle_sets(Texts.of(batch["text"], a + i, a + i + 1).lowered(), n)[0]
-                    doc_id = batch["doc_id"][a + i].as_py()
-                    out += [(doc_id, *item) for part in parts for item in contained(own, part, percent)]
+            out = [(batch["doc_id"][i].as_py(), *item) for i, items in find(batch["text"]) for item in items]
             columns = zip(*out, strict=True) if out else ([],) * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     return read
 
 
+def _keep_block(parts: list[Partition], n: int, percent: int):
+    find = _finder(parts, n, percent)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            keep[[i for i, _ in find(batch["text"].cast(pa.string()))]] = False
+            yield batch.filter(pa.array(keep))
+
+    return read
+
+
 def clean(documents: DataFrame, items: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows, with all their columns, that contain no item; rows without ``doc_id`` cannot be named and stay."""
-    found = search(documents, items, n, percent).select(F.col("doc_id").alias("own_id")).distinct()
-    return documents.join(found, F.col("doc_id").cast("long") == F.col("own_id"), "left_anti")
+    """The rows, with all their columns, that contain no item. Each row is judged by its own text, whatever its ``doc_id``."""
+    blocks = _blocks(items, n)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return documents
+    if second is None:
+        ship(documents.sparkSession)
+        return documents.mapInArrow(_keep_block(partitions(*first, percent), n, percent), documents.schema)
+    rows = keyed(documents, "rows")
+    found = search(rows.select(F.col(ROW_KEY).alias("doc_id"), "text"), items, n, percent)
+    found = found.select(F.col("doc_id").alias(ROW_KEY)).distinct()
+    return rows.join(found, ROW_KEY, "left_anti").select(*documents.columns)
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

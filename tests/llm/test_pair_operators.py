@@ -184,6 +184,28 @@ def test_decontamination(spark, monkeypatch, block):
     assert cleaned.columns == documents(spark).columns
 
 
+@pytest.mark.parametrize("block", [2000, 1])
+def test_filters_judge_rows_not_ids(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK", block)
+    item = prose(91, 40)
+    tests = spark.createDataFrame([(1, item), (2, prose(92, 40))], "item_id long, text string")
+    plain = prose(93, 60)
+    rows = [(None, "see " + item), (None, plain), (5, item), (5, prose(94, 60))]
+    kept = decontam.clean(documents(spark, rows), tests)
+    assert sorted(r["text"] for r in kept.collect()) == sorted([plain, rows[3][1]])
+    assert decontam.clean(documents(spark, rows), tests.limit(0)).count() == len(rows)
+
+
+def test_representatives_of_rows_without_or_with_repeated_ids(spark):
+    a, b, c = prose(95, 60), prose(96, 60), prose(97, 60)
+    rows = [(None, a), (None, a), (None, a + " tail"), (7, b), (7, c), (7, c), (None, c), (3, None), (3, ""), (None, None), (None, "")]
+    kept = jaccard.representatives(documents(spark, rows))
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert len([x for x in found if x[1] in (a, a + " tail")]) == 1
+    assert [x for x in found if x[1] in (b, c)] == sorted([(7, b), (7, c)], key=str)
+    assert len(found) == 7  # and the four rows without words
+
+
 URLS = [
     "https://A.ORG/x", "http://example.org/es/1", "http://www.example.org/en/12?x", "http://badexample.org/es/", "https://s.com/fr/2.html",
     "https://s.com/de/2", "http://com/de/", "no scheme", None, "", "x://", "ftp://h.net", "http://h.net?q=/org/", "http://h.org",
