@@ -49,12 +49,18 @@ class Network:
         weights = rng.normal(0, 0.3, 2 * FILTERS).astype(np.float32)
         return Network(filters, np.zeros(FILTERS, np.float32), weights, 0.0)
 
-    def responses(self, padded: np.ndarray) -> np.ndarray:
-        """Response of every filter at every place; ``padded`` has WIDTH - 1 places more than there are responses."""
+    def responses(self, padded: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Response of every filter at every place by stride; ``padded`` has WIDTH - 1 places more than there are responses.
+
+        A text's last WIDTH - 1 windows would reach into the next text and count for nothing; all its bytes are in
+        earlier windows as well.
+        """
         n = len(padded) - WIDTH + 1
         out = self.filters[0].take(padded[:n], axis=0)
         for k in range(1, WIDTH):
             out += self.filters[k].take(padded[k : n + k], axis=0)
+        out = out.reshape(first[-1], STRIDE, FILTERS)
+        out[first[1:] - 1, STRIDE - WIDTH + 1 :] = -np.inf
         return out
 
     def describe(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -66,7 +72,7 @@ class Network:
         padded = np.full(first[-1] * STRIDE + WIDTH - 1, PAD, dtype=np.int16)
         shift = np.repeat(first[:-1] * STRIDE - texts.at[:-1], lengths)
         padded[np.arange(len(texts.data)) + shift] = texts.data
-        peaks = self.responses(padded).reshape(first[-1], STRIDE, FILTERS).max(axis=1) + self.bias
+        peaks = self.responses(padded, first).max(axis=1) + self.bias
         np.maximum(peaks, 0, out=peaks)
         # A chunk is a stride and the next one of the same text.
         chunks = peaks.copy()
@@ -89,7 +95,7 @@ def _step(net: Network, texts: Texts, labels: np.ndarray, weight: np.ndarray) ->
     up = error[:, None] * net.weights
     to_best, to_mean = up[:, :FILTERS], up[:, FILTERS:] / np.diff(first)[:, None]
 
-    response = net.responses(padded).reshape(first[-1], STRIDE, FILTERS)
+    response = net.responses(padded, first)
     place = response.argmax(axis=1)
     raw = np.take_along_axis(response, place[:, None, :], axis=1)[:, 0] + net.bias
     peaks = np.maximum(raw, 0)
