@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,8 @@ def fold(column: str, parts: int) -> Column:
 def labelled_sample(rows: DataFrame, labels: DataFrame, limit: int) -> pa.Table:
     """At most ``limit`` labelled rows (doc_id, text, label) in an order that only depends on the ids.
 
-    ``labels`` has doc_id and label; rows with a null in either are left out, repeated labels count once.
+    ``labels`` has doc_id and label; rows with a null in either are left out, repeated labels count once. Of several
+    rows with one id the one whose text has the smallest hash is taken, in the map tasks already.
     """
     spark = rows.sparkSession
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
@@ -65,14 +67,16 @@ def labelled_sample(rows: DataFrame, labels: DataFrame, limit: int) -> pa.Table:
     ids = spark.createDataFrame(picked) if picked.num_rows else known.limit(0)
     texts = rows.select("doc_id", "text").where("text IS NOT NULL")
     # ``limit`` rows of two columns: the bound of this broadcast.
-    found = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")
-    return found.toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("row")
+    )
+    return found.select("doc_id", "row.text", "row.label").toArrow().sort_by([("doc_id", "ascending")])
 
 
 def slices(values: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges whose texts have about ``most`` bytes together; a longer text stands alone."""
     first, size = 0, 0
-    lengths = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
     for i, n in enumerate(lengths):
         if size and size + n > most:
             yield first, i

@@ -218,8 +218,11 @@ def train(pages: list[str]) -> Trees:
 def fit(pages: DataFrame, limit: int = TRAIN_PAGES) -> Trees:
     picked = pages.select(F.col("page_id").cast("long"), "html").where("html IS NOT NULL")
     ids = picked.select("page_id").where("page_id IS NOT NULL").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(limit)
-    chosen = picked.join(F.broadcast(ids), "page_id").select("html")  # ``limit`` ids
-    return train(sorted(r["html"] for r in chosen.collect()))
+    # ``limit`` ids, and one page of each: where an id repeats, the one whose html has the smallest hash.
+    chosen = picked.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(
+        F.min(F.struct(F.xxhash64("html").alias("h"), "html")).alias("row")
+    )
+    return train(sorted(r["html"] for r in chosen.select("row.html").collect()))
 
 
 def extract(pages: DataFrame, model: Trees) -> DataFrame:
