@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.tables.storage import Storage, each
+from daybook.tables.storage import Storage, each, write_texts
 
 ROOT = "export-manifests"
 
@@ -52,7 +52,9 @@ def backfill_path(start: str, end: str) -> str:
     return f"{ROOT}/backfill/{start}_{end}/summary.json"
 
 
-def erasure_path(start_day: str, request_ref: str) -> str:
+def erasure_path(start_day: str, request_ref: str | Column) -> str | Column:
+    if isinstance(request_ref, Column):
+        return F.concat(F.lit(f"{ROOT}/erasure/{start_day}/"), request_ref, F.lit(".json"))
     return f"{ROOT}/erasure/{start_day}/{request_ref}.json"
 
 
@@ -74,6 +76,12 @@ def write(spark: SparkSession, lake: str, schema: str, records: Iterable[tuple[s
     return len(records)
 
 
+def write_frame(lake: str, schema: str, records: DataFrame) -> int:
+    """Like ``write`` for any number of records: rows of ``path`` and the record's columns, written by the tasks."""
+    fields = (F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema))
+    return write_texts(records.select("path", F.to_json(F.struct(*fields), {"pretty": "true"}).alias("body")), lake)
+
+
 def found_run_manifests(spark: SparkSession, lake: str, table: str) -> list:
     """Paths of a table's run manifests, one per run date."""
     return Storage(spark).glob(f"{lake}/{ROOT}/[0-9]*/{table}.json")

@@ -5,22 +5,27 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions.values import null_if_empty
 from daybook.operators import evidence
 from daybook.operators.erasure import count_by_identifier, screen
 from daybook.operators.evidence import utc
 from daybook.tables.daytable import DayTable, SnapshotNotFound
+from daybook.tables.storage import Storage, kept, scratch_folder
 
-RESULT_SCHEMA = (
-    "request_ref STRING, identifier STRING, database STRING, table_name STRING, rows_before BIGINT, "
-    "rows_after_delete BIGINT, pre_erasure_snapshot_id STRING, time_travel_blocked BOOLEAN, "
-    "success BOOLEAN, error STRING"
+RESULT_COLUMNS = (
+    "request_ref", "identifier", "database", "table_name", "rows_before", "rows_after_delete",
+    "pre_erasure_snapshot_id", "time_travel_blocked", "success", "error",
 )
 
+# Tables worked on at once; each runs its own Spark jobs.
+TABLES_AT_ONCE = 4
+
 
 @dataclass(frozen=True)
 class Target:
@@ -36,13 +41,14 @@ class Target:
         return self.table.spec.identifier
 
 
-@dataclass
-class TableResult:
-    rows_before: int = 0
-    rows_after: int = 0
+@dataclass(frozen=True)
+class Outcome:
+    """What happened in one table. ``counts`` has a row per identifier that was found:
+    ``identifier, rows_before, rows_after_delete``. The rest holds for the table as a whole."""
+
+    counts: DataFrame | None = None
     snapshot_id: str | None = None
     blocked: bool = False
-    success: bool = False
     error: str | None = None
 
 
@@ -51,86 +57,77 @@ def erase(
 ) -> DataFrame:
     """Handle a batch of requests (``identifier, request_ref, jurisdiction``): one rewrite per table.
 
-    The request is on record before any row is touched. A failing table does not stop the next one.
+    The request is on record before any row is touched. A failing table does not stop the others.
     Requests that do not pass screening are refused as a whole batch, before anything happens.
+
+    Requests, keys, hits and results are tables in a scratch folder that every step reads as frames; only totals, and
+    one row per day of a table, come to the driver. Records are written by tasks, one file per request. Keys and hits
+    are removed at the end, whatever happens.
     """
     started, clock = utc(now), time.monotonic()
-    screened = screen(requests).select("identifier", "request_ref", "jurisdiction", "reason").collect()
-    refused = [r for r in screened if r.reason is not None]
-    if refused:
-        raise ValueError(f"{len(refused)} request(s) refused: " + ", ".join(sorted({r.reason for r in refused})))
-    if len({r.request_ref for r in screened}) < len(screened):
+    work = scratch_folder(spark, "erase")
+    try:
+        batch = kept(screen(requests).select("identifier", "request_ref", "jurisdiction", "reason"), f"{work}/requests")
+        _refuse_bad(batch)
+        _record(lake, batch, None, started, None)
+        keys = kept(batch.select("identifier").distinct(), f"{work}/keys")
+        with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+            jobs = [pool.submit(erase_from, t, keys, f"{work}/table={i}", now) for i, t in enumerate(targets)]
+            outcomes = [job.result() for job in jobs]
+        results = kept(_results(batch, targets, outcomes), f"{work}-results")
+        _record(lake, batch, results, started, time.monotonic() - clock)
+    finally:
+        # The lists of identifiers go; the results stay until the scratch folder is emptied, as they are read from it.
+        Storage(spark).delete(work)
+    return results.select(*RESULT_COLUMNS)
+
+
+def _refuse_bad(batch: DataFrame) -> None:
+    found = batch.agg(
+        F.count("reason").alias("refused"), F.array_sort(F.collect_set("reason")).alias("reasons"),
+        F.count(F.lit(1)).alias("requests"), F.count_distinct("request_ref").alias("references"),
+    ).first()
+    if found.refused:
+        raise ValueError(f"{found.refused} request(s) refused: " + ", ".join(found.reasons))
+    if found.references < found.requests:
         raise ValueError("request references must be unique: each one names a record")
-    _record(spark, lake, screened, started, {}, targets, None, False)
-
-    # Lists of requested keys come from here, so they start in one partition and their joins need no shuffle.
-    keys = spark.createDataFrame(sorted({(r.identifier,) for r in screened}), "identifier STRING").coalesce(1)
-    outcome: dict[tuple[int, str], TableResult] = {}
-    for position, target in enumerate(targets):
-        for identifier, result in erase_from(target, keys, now).items():
-            outcome[position, identifier] = result
-    _record(spark, lake, screened, started, outcome, targets, time.monotonic() - clock, True)
-
-    rows = [
-        (r.request_ref, r.identifier, t.database, t.table.spec.name, o.rows_before, o.rows_after, o.snapshot_id,
-         o.blocked, o.success, o.error)
-        for r in screened
-        for i, t in enumerate(targets)
-        for o in [outcome[i, r.identifier]]
-    ]
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
-
-
-def erase_from(target: Target, keys: DataFrame, now: dt.datetime | None = None) -> dict[str, TableResult]:
-    """Delete, forget history, verify: per requested identifier what happened in one table."""
+
+
+def erase_from(target: Target, keys: DataFrame, work: str, now: dt.datetime | None = None) -> Outcome:
+    """Delete, forget history, verify. ``keys`` lists identifiers; ``work`` is a folder of this table's own."""
     table, column = target.table, target.column
     key_type = table.spec.schema[column].dataType
-    requested = [r.identifier for r in keys.collect()]
-    if target.identifiers is None:
-        mapped = keys.select("identifier", F.col("identifier").try_cast(key_type).alias(column))
-    else:
-        mapped = target.identifiers.join(keys, "identifier").select("identifier", column)
-    # As many entries as there are requests, or keys of theirs.
-    pairs = mapped.filter(F.col(column).isNotNull()).collect()
-    results = {identifier: TableResult() for identifier in requested}
+    outcome = Outcome()
     try:
-        own_keys = keys.sparkSession.createDataFrame(
-            [(r[1],) for r in pairs], f"{column} {key_type.simpleString()}"
-        ).coalesce(1)
-        hits = table.key_hits(own_keys, column).persist()
-        try:
-            before = {r[0]: r.rows for r in hits.groupBy(column).agg(F.sum("rows").alias("rows")).collect()}
-            for r in pairs:
-                results[r.identifier].rows_before += before.get(r[1], 0)
-            if not before:
-                # An earlier attempt may have stopped between the delete and the cleaning up.
-                if table.history_holds(own_keys, column):
-                    table.forget_history(now)
-                for result in results.values():
-                    result.success = True
-                return results
-            previous = table.snapshot().snapshot_id
-            table.delete_keys(own_keys, column, hits, now)
-        finally:
-            hits.unpersist()
+        if target.identifiers is None:
+            mapped = keys.select("identifier", F.col("identifier").try_cast(key_type).alias(column))
+        else:
+            mapped = target.identifiers.join(keys, "identifier").select("identifier", F.col(column).cast(key_type))
+        mapped = kept(mapped.filter(F.col(column).isNotNull()).distinct(), f"{work}/mapped")
+        own_keys = mapped.select(column)
+        hits = kept(table.key_hits(own_keys, column), f"{work}/hits")
+        if hits.isEmpty():
+            # An earlier attempt may have stopped between the delete and the cleaning up.
+            if table.history_holds(own_keys, column):
+                table.forget_history(now)
+            return outcome
+        before = _by_identifier(mapped, hits.groupBy(column).agg(F.sum("rows").alias("rows")), column, "rows_before")
+        outcome = replace(outcome, counts=before.withColumn("rows_after_delete", F.lit(0).cast("bigint")))
+        previous = table.snapshot().snapshot_id
+        table.delete_keys(own_keys, column, hits, now)
         table.forget_history(now)
-        after = {r[0]: r.rows for r in count_by_identifier(table.read(), own_keys, column).collect()}
-        blocked = _unreadable(table, previous)
-    except Exception as failure:  # noqa: BLE001 - recorded against the request
-        for result in results.values():
-            result.error = str(failure).splitlines()[0] if str(failure) else type(failure).__name__
-        return results
-    for r in pairs:
-        results[r.identifier].rows_after += after.get(r[1], 0)
-    for result in results.values():
-        if result.rows_before:
-            result.snapshot_id, result.blocked = str(previous), blocked
-            if result.rows_after:
-                result.error = f"expected no rows after the delete, found {result.rows_after}"
-            elif not blocked:
-                result.error = f"snapshot {previous} can still be read"
-        result.success = result.error is None
-    return results
+        left = count_by_identifier(table.read(), own_keys, column)
+        after = _by_identifier(mapped, left, column, "rows_after_delete")
+        counts = before.join(after, "identifier", "left").fillna(0, ["rows_after_delete"])
+        outcome = replace(outcome, counts=kept(counts, f"{work}/counts"))
+        return replace(outcome, snapshot_id=str(previous), blocked=_unreadable(table, previous))
+    except Exception as failure:  # noqa: BLE001 - recorded against the requests
+        return replace(outcome, error=str(failure).splitlines()[0] if str(failure) else type(failure).__name__)
+
+
+def _by_identifier(mapped: DataFrame, counts: DataFrame, column: str, name: str) -> DataFrame:
+    """Rows per requested identifier; one that is known under several keys has the rows of all."""
+    return mapped.join(counts, column).groupBy("identifier").agg(F.sum("rows").alias(name))
 
 
 def _unreadable(table: DayTable, version: int) -> bool:
@@ -141,34 +138,61 @@ def _unreadable(table: DayTable, version: int) -> bool:
     return False
 
 
-def _record(spark, lake, requests, started, outcome, targets, seconds, finished) -> None:
-    def tables(identifier: str):
-        for i, t in enumerate(targets):
-            o = outcome.get((i, identifier))
-            if o is not None:
-                yield {
-                    "database": t.database,
-                    "table": t.table.spec.name,
-                    "rows_before": o.rows_before,
-                    "rows_after_delete": o.rows_after,
-                    "pre_erasure_snapshot_id": o.snapshot_id,
-                    "time_travel_blocked": o.blocked,
-                    "success": o.success,
-                    "error": o.error,
-                }
-
-    records = []
-    for r in requests:
-        done = list(tables(r.identifier))
-        record = {
-            "request_ref": r.request_ref,
-            "identifier": r.identifier,
-            "jurisdiction": r.jurisdiction or None,
-            "tables": done,
-            "started_at": started,
-            "finished_at": utc() if finished else None,
-            "duration_seconds": seconds,
-            "success": finished and all(t["success"] for t in done),
-        }
-        records.append((evidence.erasure_path(started.date().isoformat(), r.request_ref), record))
-    evidence.write(spark, lake, evidence.ERASURE_SCHEMA, records)
+def _results(batch: DataFrame, targets: Sequence[Target], outcomes: Sequence[Outcome]) -> DataFrame:
+    """One row per request and table, with the table's ``position`` among the targets."""
+    out = None
+    for position, (target, o) in enumerate(zip(targets, outcomes)):
+        rows = batch.select("request_ref", "identifier")
+        if o.counts is None:
+            zero = F.lit(0).cast("bigint")
+            rows = rows.withColumns({"rows_before": zero, "rows_after_delete": zero})
+        else:
+            rows = rows.join(o.counts, "identifier", "left").fillna(0, ["rows_before", "rows_after_delete"])
+        found = F.col("rows_before") > 0
+        error: Column = F.lit(o.error)
+        if o.error is None:
+            left = F.format_string("expected no rows after the delete, found %d", "rows_after_delete")
+            error = F.when(found & (F.col("rows_after_delete") > 0), left)
+            if not o.blocked:
+                error = error.when(found, F.lit(f"snapshot {o.snapshot_id} can still be read"))
+        part = rows.select(
+            F.lit(position).alias("position"), "request_ref", "identifier", F.lit(target.database).alias("database"),
+            F.lit(target.table.spec.name).alias("table_name"), "rows_before", "rows_after_delete",
+            F.when(found, F.lit(o.snapshot_id)).cast("string").alias("pre_erasure_snapshot_id"),
+            (found & F.lit(o.blocked)).alias("time_travel_blocked"), error.cast("string").alias("error"),
+        ).withColumn("success", F.col("error").isNull())
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _record(
+    lake: str, batch: DataFrame, results: DataFrame | None, started: dt.datetime, seconds: float | None
+) -> None:
+    """A record per request: without ``results`` that work begins, with them what became of it."""
+    record = batch.select("request_ref", "identifier", null_if_empty(F.col("jurisdiction")).alias("jurisdiction"))
+    if results is None:
+        record = record.withColumns({"tables": F.array(), "success": F.lit(False)})
+    else:
+        # One entry per target, so a request's group is as small as the list of tables.
+        each = F.struct(
+            "position", "database", F.col("table_name").alias("table"), "rows_before", "rows_after_delete",
+            "pre_erasure_snapshot_id", "time_travel_blocked", "success", "error",
+        )
+        done = results.groupBy("request_ref").agg(
+            F.array_sort(F.collect_list(each)).alias("all"), F.bool_and("success").alias("success")
+        )
+        entry = F.transform("all", lambda e: e.dropFields("position"))
+        record = record.join(done, "request_ref").withColumn("tables", entry)
+    evidence.write_frame(
+        lake,
+        evidence.ERASURE_SCHEMA,
+        record.withColumns(
+            {
+                "path": evidence.erasure_path(started.date().isoformat(), F.col("request_ref")),
+                "started_at": F.lit(started),
+                "finished_at": F.lit(None if results is None else utc()).cast("timestamp"),
+                "duration_seconds": F.lit(seconds).cast("double"),
+                "error": F.lit(None).cast("string"),
+            }
+        ),
+    )

@@ -343,24 +343,11 @@ class DayTable:
         parent = self.snapshot()
         if hits is None:
             hits = self.key_hits(keys, column)
+        # One row per day, as in the log.
         totals = hits.groupBy("day").agg(F.sum("rows").alias("rows")).collect()
         if not totals:
             return None
-        per_day = {r.day for r in totals}
-        touched = [e for e in parent.live if e.day in per_day]
-        names = dict(zip(touched, each(self._file_names, touched)))
-        hit_files = {r.file for r in hits.select("file").distinct().collect()}
-        kept = [e for e in parent.live if e.day not in per_day]
-        rewritten: list[Live] = []
-        for entry in touched:
-            hit = tuple(f for f in names[entry] if f in hit_files)
-            if not hit:
-                kept.append(entry)
-                continue
-            rewritten.append(Live(entry.day, entry.commit, hit))
-            rest = tuple(f for f in names[entry] if f not in hit_files)
-            if rest:
-                kept.append(Live(entry.day, entry.commit, rest))
+        rewritten, kept = self._split_by_hits(parent, frozenset(r.day for r in totals), hits)
         before = self._scan(rewritten)
         staged = self.stage(
             without(before.select(*self.spec.columns), keys, column), {e.day for e in rewritten}, rebalance=False
@@ -373,6 +360,39 @@ class DayTable:
         snapshot_id = self._publish(parent, kept, parent.days, "delete", now)
         return Commit(snapshot_id, staged.rows, staged.checksum, staged.days)
 
+    def _split_by_hits(
+        self, parent: Snapshot, days: frozenset[dt.date], hits: DataFrame
+    ) -> tuple[list[Live], list[Live]]:
+        """What has to be rewritten because of ``hits`` on these days, and what stays.
+
+        The listing, the log and the hits are joined as frames. One row per log entry comes back; it names files only
+        where an entry has both kinds, as the log itself must then.
+        """
+        touched = {(e.commit, e.day): e for e in parent.live if e.day in days}
+        listed = self.live_files(parent, [self._directory(*key) for key in touched])
+        hit = F.col("hit").isNotNull()
+        marked = listed.join(hits.select("file").distinct().withColumn("hit", F.lit(True)), "file", "left")
+        entries = marked.groupBy("commit", "day").agg(
+            F.count(F.lit(1)).alias("files"), F.count_if(hit).alias("hits"),
+            F.collect_list(F.when(hit, F.col("file"))).alias("hit_files"),
+            F.collect_list(F.when(~hit, F.col("file"))).alias("other_files"),
+        )
+        mixed = F.col("hits") < F.col("files")
+        found = entries.filter("hits > 0").select(
+            "commit", "day", F.when(mixed, F.col("hit_files")).alias("hit_files"),
+            F.when(mixed, F.col("other_files")).alias("other_files"),
+        )
+        rewritten: list[Live] = []
+        kept = [e for e in parent.live if e.day not in days]
+        for r in found.collect():
+            entry = touched.pop((r.commit, r.day))
+            if r.hit_files is None:
+                rewritten.append(entry)
+            else:
+                rewritten.append(Live(r.day, r.commit, tuple(sorted(r.hit_files))))
+                kept.append(Live(r.day, r.commit, tuple(sorted(r.other_files))))
+        return rewritten, kept + list(touched.values())
+
     def _last_change(self, entry: Entry) -> dt.datetime:
         """Newest change at or below a commit folder: its own, its days' and their partitions'."""
         latest, level = entry.modified, [entry]
@@ -381,13 +401,6 @@ class DayTable:
             latest = max([latest, *(e.modified for e in level)])
         return latest
 
-    def _file_names(self, entry: Live) -> tuple[str, ...]:
-        """Encoded names of an entry's files, as ``file_name`` gives them."""
-        if entry.files is not None:
-            return entry.files
-        found = self._data_files(self._directory(entry.commit, entry.day))
-        return tuple(self._encoded(e.path) for e in found)
-
     def _data_files(self, directory: str) -> list[Entry]:
         depth = "/".join("*" for _ in self.spec.partition_columns)
         return self.storage.glob(f"{directory}/{depth}")
@@ -413,15 +426,17 @@ class DayTable:
         each(lambda i: self.storage.delete(self._log_path(i)), ids)
         return sorted(ids)
 
-    def files(self) -> DataFrame:
-        """Every readable data file with its commit, day and size; the listing runs as a Spark job."""
+    def files(self, folders: Iterable[str] | None = None) -> DataFrame:
+        """Every readable data file, or those in ``folders``, with commit, day and size; the listing runs as a Spark job."""
         name = self.file_name()
         empty = "file STRING, commit STRING, day DATE, bytes BIGINT"
-        commits = [e.path for e in self.storage.list(self.data_root) if e.is_dir]
-        if not commits:
+        if folders is None:
+            folders = [e.path for e in self.storage.list(self.data_root) if e.is_dir]
+        folders = list(folders)
+        if not folders:
             return self.spark.createDataFrame([], empty)
         listed = (
-            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(commits)
+            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
             .select(name.alias("file"), F.col("length").alias("bytes"))
         )
         pattern = rf"^commit=([^/]+)/{self.spec.date_column}=(\d{{4}}-\d{{2}}-\d{{2}})/"
@@ -446,11 +461,11 @@ class DayTable:
             self.files().join(whole, ["commit", "day"], "left_anti").join(single, "file", "left_anti")
         )
 
-    def live_files(self) -> DataFrame:
-        """Data files of the newest snapshot."""
-        newest = self.snapshots().filter(F.col("snapshot_id") == F.lit(self.snapshot().snapshot_id))
-        whole, single = self._named(newest)
-        files = self.files()
+    def live_files(self, snapshot: Snapshot | None = None, folders: Iterable[str] | None = None) -> DataFrame:
+        """Data files of a snapshot, the newest by default; ``folders`` restricts the listing to some of its days."""
+        snapshot = snapshot or self.snapshot()
+        whole, single = self._named(self.snapshots().filter(F.col("snapshot_id") == F.lit(snapshot.snapshot_id)))
+        files = self.files(folders)
         return files.join(whole, ["commit", "day"], "left_semi").select(*files.columns).unionByName(
             files.join(single, "file", "left_semi").select(*files.columns)
         )

@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Requests in flight at once against the file system.
 CALLS_IN_FLIGHT = 32
@@ -95,6 +97,11 @@ class Storage:
         finally:
             self._fs(staged).delete(staged, False)
 
+    def qualified(self, path: str) -> str:
+        """The path with scheme and authority."""
+        p = self._path(path)
+        return self._fs(p).makeQualified(p).toUri().toString()
+
     def make_dirs(self, path: str) -> None:
         p = self._path(path)
         self._fs(p).mkdirs(p)
@@ -114,6 +121,44 @@ class Storage:
         return summary.getLength(), summary.getFileCount()
 
 
+def write_texts(texts: DataFrame, folder: str) -> int:
+    """One file per row (``path`` below ``folder``, ``body``), written by the tasks; a file that exists is replaced.
+
+    A task that runs again writes the same files once more. Tasks reach the store through Arrow's file systems, which
+    know local paths, S3, HDFS, Google and Azure storage.
+    """
+    root = Storage(texts.sparkSession).qualified(folder)
+    scheme, _, rest = root.partition(":")
+    root = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + (rest if rest.startswith("//") else f"//{rest}")
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, base = fs.FileSystem.from_uri(root)
+        made: set[str] = set()
+        written = 0
+        for batch in batches:
+            for path, body in zip(batch["path"].to_pylist(), batch["body"].to_pylist()):
+                target = f"{base}/{path}"
+                parent = target.rsplit("/", 1)[0]
+                if parent not in made:
+                    files.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with files.open_output_stream(target) as out:
+                    out.write(body.encode())
+                written += 1
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], names=["written"])
+
+    done = texts.select("path", "body").mapInArrow(put, "written BIGINT").agg(F.sum("written"))
+    return done.first()[0] or 0
+
+
+def kept(frame: DataFrame, path: str) -> DataFrame:
+    """The rows written to ``path`` and read back: what comes later survives a lost executor without the work before."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """New folder for throwaway tables, below ``spark.checkpoint.dir`` so that every executor sees it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

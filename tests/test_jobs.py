@@ -19,7 +19,7 @@ from daybook.plans.jobs import (
     migrate,
     trim,
 )
-from daybook.schemas import TRIP_EVENTS, TRIP_EVENTS_CURATED
+from daybook.schemas import REWARD_LEDGER, TRIP_EVENTS, TRIP_EVENTS_CURATED
 from daybook.sources.events import FrameSource
 from daybook.tables.daytable import DayTable, SnapshotNotFound
 from daybook.tables.storage import Storage
@@ -319,6 +319,11 @@ def _request(spark, *requests):
     return spark.createDataFrame(list(requests), "identifier STRING, request_ref STRING, jurisdiction STRING")
 
 
+def _ordered(done):
+    """Rows by request; raw before curated."""
+    return done.orderBy("request_ref", F.desc("database")).collect()
+
+
 @pytest.fixture
 def lake(spark, lake_root, raw, curated, source):
     backfill(spark, source, raw, lake_root, [D15, D16], now=NOW)
@@ -327,7 +332,7 @@ def lake(spark, lake_root, raw, curated, source):
 
 
 def test_erasure(spark, lake_root, lake):
-    done = erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-1", "IN")), lake, now=NOW).collect()
+    done = _ordered(erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-1", "IN")), lake, now=NOW))
     assert [(r.table_name, r.rows_before, r.rows_after_delete, r.time_travel_blocked, r.success) for r in done] == [
         ("trip_events", 2, 0, True, True),
         ("trip_events_curated", 2, 0, True, True),
@@ -356,14 +361,14 @@ def test_erasure_where_one_table_has_nothing(spark, lake_root, lake):
 
 def test_a_failing_table_does_not_stop_the_next(spark, lake_root, lake, monkeypatch):
     monkeypatch.setattr(lake[0].table, "expire", lambda *a, **k: 1 / 0)
-    done = erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-4", "")), lake, now=NOW).collect()
+    done = _ordered(erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-4", "")), lake, now=NOW))
     assert [(r.success, bool(r.error)) for r in done] == [(False, True), (True, False)]
     assert manifest(lake_root, evidence.erasure_path("2026-01-17", "REQ-4"))["success"] is False
 
 
 def test_history_that_can_still_be_read_is_a_failure(spark, lake_root, lake, monkeypatch):
     monkeypatch.setattr(lake[0].table, "expire", lambda *a, **k: [])
-    done = erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-5", "")), lake, now=NOW).collect()
+    done = _ordered(erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-5", "")), lake, now=NOW))
     assert "can still be read" in done[0].error and not done[0].success
 
 
@@ -401,7 +406,7 @@ def test_a_second_attempt_cleans_up_what_the_first_left(spark, lake_root, lake,
         patch.setattr(table, "expire", lambda *a, **k: 1 / 0)
         erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-7", "")), lake, now=NOW)
     assert table.read(version=2).filter("vehicle_id_hash = 'hash_veh_aaa111'").count() == 2
-    done = erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-8", "")), lake, now=NOW).collect()
+    done = _ordered(erase(spark, lake_root, _request(spark, ("hash_veh_aaa111", "REQ-8", "")), lake, now=NOW))
     assert all(r.success for r in done)
     with pytest.raises(SnapshotNotFound):
         table.read(version=2)
@@ -415,6 +420,55 @@ def test_request_references_name_one_record_each(spark, lake_root, lake):
         erase(spark, lake_root, request, lake, now=NOW)
 
 
+def test_a_batch_of_100_000_requests_stays_in_frames(spark, lake_root, lake, monkeypatch):
+    """No list of requests, keys, counts or files comes to the driver, and every request has its record."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    brought = []
+    collect = DataFrame.collect
+
+    def counted(frame):
+        rows = collect(frame)
+        brought.append(len(rows))
+        return rows
+
+    size = 100_000
+    known = {1: "hash_veh_aaa111", 2: "hash_veh_bbb222", 3: "hash_veh_aaa111"}
+    identifier = F.col("id").cast("string")
+    for i, vehicle in known.items():
+        identifier = F.when(F.col("id") == i, vehicle).otherwise(identifier)
+    request = spark.range(size, numPartitions=8).select(
+        identifier.alias("identifier"), F.concat(F.lit("REQ-"), "id").alias("request_ref"), F.lit("IN").alias("jurisdiction")
+    )
+    with monkeypatch.context() as patch:
+        patch.setattr(DataFrame, "collect", counted)
+        done = erase(spark, lake_root, request, lake, now=NOW)
+    assert max(brought) <= 8  # days and log entries
+    assert done.count() == 2 * size and done.filter("NOT success").count() == 0
+    found = {(r.request_ref, r.database): r.rows_before for r in done.filter("rows_before > 0").collect()}
+    raw_rows = {"hash_veh_aaa111": 2, "hash_veh_bbb222": sum(t[1] == "hash_veh_bbb222" for t in TRIPS)}
+    assert {k: n for k, n in found.items() if k[1] == "raw"} == {(f"REQ-{i}", "raw"): raw_rows[v] for i, v in known.items()}
+    gone = {t[0] for t in TRIPS if t[1] in known.values()}
+    assert ids(lake[0].table.read()) == [t[0] for t in TRIPS if t[0] not in gone]
+    folder = f"{lake_root}/{evidence.ROOT}/erasure/2026-01-17"
+    records = spark.read.schema(evidence.ERASURE_SCHEMA).option("multiLine", "true").json([f"{folder}/REQ-{i}.json" for i in (0, 1, 99_999)])
+    assert {(r.request_ref, r.success, len(r.tables)) for r in records.collect()} == {("REQ-0", True, 2), ("REQ-1", True, 2), ("REQ-99999", True, 2)}
+    assert Storage(spark).usage(folder)[1] == size
+
+
+def test_an_identifier_under_several_keys(spark, lake_root):
+    ledger = DayTable(spark, f"{lake_root}/raw/reward_ledger", REWARD_LEDGER).create(NOW)
+    entries = spark.createDataFrame(
+        [(i, i % 4, "BLR", "reward", None, D15, None) for i in range(12)], ledger.spec.schema
+    )
+    ledger.replace_days(entries, [D15], now=NOW)
+    accounts = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("b", 77), ("c", None)], "identifier STRING, account_id BIGINT")
+    request = _request(spark, ("a", "REQ-1", ""), ("b", "REQ-2", ""), ("c", "REQ-3", ""))
+    done = erase(spark, lake_root, request, [Target("raw", ledger, accounts)], now=NOW)
+    assert [(r.identifier, r.rows_before, r.success) for r in _ordered(done)] == [("a", 6, True), ("b", 3, True), ("c", 0, True)]
+    assert sorted(r.ledger_id for r in ledger.read().collect()) == [0, 4, 8]
+
+
 # ---- SQL users and the command line ----------------------------------------------------------------
 
 
