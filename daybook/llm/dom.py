@@ -84,6 +84,7 @@ class Page:
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]  # open elements; inline ones carry their block's number
+        places: dict[str, list[int]] = {}  # where in the stack each tag is open
         pieces: list[str] = []
         in_link = 0
         at = 0
@@ -98,9 +99,16 @@ class Page:
                     self.leaves.append((stack[-1][1], text))
                 pieces.clear()
 
+        def open_(tag: str, node: int) -> None:
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((tag, node))
+
         def close(depth: int) -> int:
-            closed = sum(tag == "a" for tag, _ in stack[depth:])
-            del stack[depth:]
+            closed = 0
+            while len(stack) > depth:
+                tag, _ = stack.pop()
+                places[tag].pop()
+                closed += tag == "a"
             return closed
 
         for m in TAG.finditer(html):
@@ -116,11 +124,10 @@ class Page:
             tag = tag.lower()
             own = stack[-1][1]
             if m[2]:
-                depth = next((i for i in range(len(stack) - 1, max(0, len(stack) - 200), -1) if stack[i][0] == tag), 0)
-                if depth:
+                if places.get(tag):
                     if tag in BLOCKS:
                         flush()
-                    in_link -= close(depth)
+                    in_link -= close(places[tag][-1])
                 elif tag in BLOCKS:
                     flush()
                 continue
@@ -133,7 +140,7 @@ class Page:
                 flush()
                 continue
             if tag not in BLOCKS:
-                stack.append((tag, own))
+                open_(tag, own)
                 in_link += tag == "a"
                 continue
             flush()
@@ -145,7 +152,7 @@ class Page:
                     break
                 if name in SCOPES:
                     break
-            stack.append((tag, self._open(tag, m[4], stack[-1][1], m.start())))
+            open_(tag, self._open(tag, m[4], stack[-1][1], m.start()))
         if at < len(html):
             rest = html[at:]
             pieces.append(rest if "<" not in rest else rest[: rest.index("<")] if TAG.match(rest[rest.index("<") :] + ">") else rest)
@@ -209,7 +216,10 @@ class Page:
         return np.hstack(columns).astype(np.float32)
 
     def text(self, logits: np.ndarray) -> str:
-        """Text of the elements kept. An element can only be kept inside kept ones; the choice with the best sum wins."""
+        """Text of the elements kept. An element can only be kept inside kept ones; the choice with the best sum wins.
+
+        Where no element is kept, text directly in body is the article.
+        """
         n = len(self.parent)
         weight = np.zeros(n)
         for node, text in self.leaves:
@@ -224,4 +234,6 @@ class Page:
         kept = [True] * n
         for i in range(1, n):
             kept[i] = kept[self.parent[i]] and gain[i] > 0
-        return " ".join(text for node, text in self.leaves if kept[node] and node)
+        inside = [text for node, text in self.leaves if kept[node] and node]
+        # Text that stands in body itself is the article of a page that has no other.
+        return " ".join(inside or (text for node, text in self.leaves if not node))

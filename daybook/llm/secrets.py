@@ -188,19 +188,20 @@ def scan(documents: DataFrame, words: DataFrame, threshold: float = THRESHOLD) -
 def redacted(documents: DataFrame, words: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The same rows and columns, with every secret in ``text`` replaced by ``MASK``."""
     found = scan(documents, words, threshold).groupBy("doc_id", "text_hash", "nth").agg(F.max("is_secret").alias("is_secret"))
-    # One list per text that has a secret, as long as the text has candidates.
-    flags = found.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("nth", "is_secret"))).alias("flags"))
-    flags = flags.where(F.exists("flags", lambda f: f["is_secret"])).select(
-        F.col("doc_id").alias("own_id"), "text_hash", "flags"
+    # One list per text that has a secret, as long as the text has candidates. Names of its own, whatever the rows have.
+    flags = found.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("nth", "is_secret"))).alias("__flags"))
+    flags = flags.where(F.exists("__flags", lambda f: f["is_secret"])).select(
+        F.col("doc_id").alias("__own_id"), F.col("text_hash").alias("__text_hash"), "__flags"
     )
     suspect = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
     listed = documents.where(suspect)
-    joined = listed.join(flags, listed["doc_id"].cast("long").eqNullSafe(F.col("own_id")) & (F.md5("text") == F.col("text_hash")), "left")
+    same = listed["doc_id"].cast("long").eqNullSafe(F.col("__own_id")) & (F.md5(listed["text"]) == F.col("__text_hash"))
+    joined = listed.join(flags, same, "left")
     found_here = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    masked = F.zip_with(found_here, F.col("flags"), lambda c, f: F.when(f["is_secret"], F.lit(MASK)).otherwise(c))
+    masked = F.zip_with(found_here, F.col("__flags"), lambda c, f: F.when(f["is_secret"], F.lit(MASK)).otherwise(c))
     pieces = F.zip_with(F.split("text", CANDIDATE, -1), masked, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
-    text = F.when(F.col("flags").isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text"))
-    columns = [text.alias("text") if c == "text" else listed[c] for c in documents.columns]
+    text = F.when(F.col("__flags").isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text"))
+    columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns]
     return documents.where(~suspect).unionByName(joined.select(*columns))
 
 

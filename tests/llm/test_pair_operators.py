@@ -359,3 +359,27 @@ def test_pipeline_stages(spark, tmp_path):
     whole = corpus_pipeline.run(spark, str(tmp_path))
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(str, whole.select(*key).collect())) == sorted(map(str, docs.select(*key).collect()))
+
+
+def test_masking_survives_clashing_columns(spark):
+    from daybook.llm import secrets
+
+    rows = spark.createDataFrame(
+        [(1, 'token = "9f86d081884c7d659a2feaa0c55ad015" and', "x", "y", 7), (2, "nothing", "x", "y", 8), (3, None, "x", "y", 9)],
+        "doc_id long, text string, flags string, text_hash string, own_id long",
+    )
+    words = secrets.dictionary(spark, public_tokenizers.path("word_bpe_49k.json"))
+    got = secrets.redacted(rows, words)
+    assert got.columns == rows.columns
+    texts_by_id = {r.doc_id: r.text for r in got.collect()}
+    assert texts_by_id[2] == "nothing" and texts_by_id[3] is None and "9f86d0818" not in texts_by_id[1]
+
+
+def test_many_open_inline_elements_and_bare_body():
+    from daybook.llm.dom import Page
+
+    page = Page("<body><article><p>" + "<i>" * 300 + "article text</p></article><footer>foot</footer></body>")
+    kinds = {text: page.depth[node] for node, text in page.leaves}
+    assert kinds["foot"] == 1
+    bare = Page("<body>Plain text<br>more</body>")
+    assert bare.text([-1.0] * len(bare.parent)) == "Plain text more"
