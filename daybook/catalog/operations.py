@@ -198,11 +198,11 @@ def _inventory(spark, sf, sized: bool):
 
 
 def _inventory_sql(spec) -> str:
-    has_day = "event_date" in spec.columns
-    days = "count(DISTINCT event_date)" if has_day else "cast(NULL AS bigint)"
+    has_day = spec.date_column in spec.columns
+    days = f"count(DISTINCT {spec.date_column})" if has_day else "cast(NULL AS bigint)"
     return f"""SELECT '{spec.name}' AS table_name, count(*) AS row_count, {days} AS days,
     count(*) / {days} AS rows_per_day, '{spec.primary_key}' AS primary_key,
-    {"'event_date'" if has_day else "cast(NULL AS varchar)"} AS partition_column,
+    {f"'{spec.date_column}'" if has_day else "cast(NULL AS varchar)"} AS partition_column,
     {str(spec.identifier is not None).lower()} AS personal_data FROM {spec.name}"""
 
 

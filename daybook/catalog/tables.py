@@ -22,20 +22,24 @@ from daybook.catalog.registry import (
 )
 from daybook.functions.days import date_spine
 from daybook.operators import partitions, reports
-from daybook.operators.changes import (
-    conform,
-    latest_per_key,
-    new_rows,
-    with_jurisdiction,
-    without_erased,
-    without_synthetic,
-)
+from daybook.operators.changes import new_rows, without_erased, without_synthetic
+from daybook.operators.cities import CITIES_SCHEMA
 from daybook.operators.evidence import successful_days, parse_run_manifests, scan_run_manifests
-from daybook.plans.jobs import curatable_days, day_frame, merge_small_files, migrate, snapshot_accounts
-from daybook.schemas import ACCOUNT_SNAPSHOTS, TRIP_EVENTS
+from daybook.plans import retention
+from daybook.plans.jobs import (
+    curatable_days,
+    curate_days,
+    day_frame,
+    export_days,
+    merge_small_files,
+    migrate,
+    snapshot_accounts,
+)
+from daybook.schemas import ACCOUNT_SNAPSHOTS, REFERENCE_FEED_CACHE, REWARD_LEDGER_MONTHLY, TRIP_EVENTS
 from daybook.sources.events import FrameSource, ParquetSource
 from daybook.sources.given import view
 from daybook.sources.operations import scan_files
+from daybook.tables.columns import evolved
 from daybook.tables.daytable import DayTable, expirable
 
 ALL_TRIPS = f"SELECT {TRIP_COLUMNS} FROM trip_events"
@@ -415,26 +419,45 @@ def exclude_erased(spark, sf):
     return without_erased(trips(spark, sf), register, "vehicle_id_hash")
 
 
+# A city that changes its jurisdiction, one that gains it, and three that always have it.
+CITIES = (
+    ("BLR", "IN", None, dt.date(2024, 1, 10)), ("BLR", "IN-KA", dt.date(2024, 1, 10), None),
+    ("DEL", "IN", dt.date(2024, 1, 15), None), ("MUM", "IN", None, None), ("HYD", "IN", None, None), ("PUN", "IN", None, None),
+)
+
+
 @query(
     "jurisdiction_column",
-    f"""SELECT {TRIP_COLUMNS}, CASE WHEN city_code = 'CITY_ZZ' THEN NULL ELSE 'IN' END AS jurisdiction
+    f"""SELECT {TRIP_COLUMNS}, CASE
+      WHEN city_code = 'BLR' AND event_date < DATE '2024-01-10' THEN 'IN'
+      WHEN city_code = 'BLR' THEN 'IN-KA'
+      WHEN city_code = 'DEL' AND event_date < DATE '2024-01-15' THEN NULL
+      WHEN city_code <> 'CITY_ZZ' THEN 'IN' END AS jurisdiction
     FROM trip_events""",
     "trip_events",
 )
 def jurisdiction_column(spark, sf):
-    cities = spark.createDataFrame(
-        [(c, "IN") for c in ("BLR", "MUM", "DEL", "HYD", "PUN")], "city_code STRING, jurisdiction STRING"
-    )
-    return with_jurisdiction(trips(spark, sf), cities).select(*TRIP_EVENTS.columns, "jurisdiction")
+    lake = loaded(spark, sf)
+    cities = spark.createDataFrame(CITIES, CITIES_SCHEMA)
+    curate_days(spark, lake.raw, lake.curated, lake.root, sorted(lake.raw.days()), now=NOW, cities=cities).raise_if_failed()
+    return evolved(lake.curated).read()
 
 
 @query("curated_dedup", ALL_TRIPS, "trip_events")
 def curated_dedup(spark, sf):
+    """Every seventh trip also has an older copy on the day before, which is curated in another run than the trip."""
     rows = trips(spark, sf)
-    older = rows.withColumns(
-        {"created_at": F.expr("created_at - INTERVAL 1 HOUR"), "fare_amount": F.col("fare_amount") + 1}
+    older = rows.filter("trip_id % 7 = 0").withColumns(
+        {
+            "event_date": F.date_sub("event_date", 1), "created_at": F.expr("created_at - INTERVAL 1 HOUR"),
+            "fare_amount": F.col("fare_amount") + 1,
+        }
     )
-    return latest_per_key(rows.unionByName(older), ["trip_id"], "created_at")
+    lake = SampleLake(spark).load_raw(rows.unionByName(older))
+    days = sorted(lake.raw.days())
+    for part in (days[::2], days[1::2]):
+        curate_days(spark, lake.raw, lake.curated, lake.root, part, now=NOW, dedup_by="created_at").raise_if_failed()
+    return lake.curated.read()
 
 
 @query("compact_small_files", ALL_TRIPS, "trip_events")
@@ -460,52 +483,85 @@ def file_counts_by_partition(spark, sf):
 
 @query(
     "merge_schema",
-    f"""SELECT trip_id, vehicle_id_hash, city_code, event_date, distance_km, fare_amount, created_at FROM trip_events
-    WHERE event_date < DATE '2024-01-15' UNION ALL
-    SELECT trip_id, vehicle_id_hash, city_code, event_date, distance_km, NULL, created_at FROM trip_events
+    """SELECT trip_id, vehicle_id_hash, city_code, event_date, distance_km, fare_amount, created_at,
+      cast(NULL AS double) AS surge FROM trip_events WHERE event_date < DATE '2024-01-15' UNION ALL
+    SELECT trip_id, vehicle_id_hash, city_code, event_date, distance_km, NULL, created_at, distance_km * 2 FROM trip_events
     WHERE event_date >= DATE '2024-01-15'""",
     "trip_events",
 )
 def merge_schema(spark, sf):
-    # Newer rows come with a column the table does not declare and without one that it does.
+    """Newer rows come with a column the table does not declare and without one that it does; curated has both."""
     rows = trips(spark, sf)
-    older = rows.filter(F.col("event_date") < F.lit(SINCE))
-    newer = rows.filter(F.col("event_date") >= F.lit(SINCE)).drop("fare_amount").withColumn("surge", F.lit(1.5))
-    return conform(older, TRIP_EVENTS.schema).unionByName(conform(newer, TRIP_EVENTS.schema))
+    newer = rows.filter(F.col("event_date") >= F.lit(SINCE)).drop("fare_amount").withColumn("surge", F.col("distance_km") * 2)
+    lake = SampleLake(spark)
+    days = day_range(rows)
+    for part, frame, added in (([d for d in days if d < SINCE], rows, False), ([d for d in days if d >= SINCE], newer, True)):
+        source = FrameSource(frame, TRIP_EVENTS, keep_added=added)
+        export_days(spark, source, lake.raw, lake.root, part, now=NOW).raise_if_failed()
+    curate_days(spark, lake.raw, lake.curated, lake.root, days, now=NOW).raise_if_failed()
+    return evolved(lake.curated).read()
 
 
-# Class, table, key, day expression, days and months kept. What is kept for ever has no entry.
-RETAINED = (
-    ("ledger", "reward_ledger", "ledger_id", "event_date", 0, 84),
-    ("camera", "anpr_camera_events", "event_id", "event_date", 0, 12),
-    ("trip", "trip_events", "trip_id", "event_date", 90, 0),
-    ("derived", "zone_occupancy_hourly", "occupancy_id", "cast(hour_ts AS date)", 0, 12),
-)
 RETENTION_DAY = dt.date(2005, 1, 31)
 
 
-def _retention_sql() -> str:
-    parts = [
-        f"""SELECT '{name}' AS data_class, {key} AS row_id, {day} AS event_date,
-        CASE WHEN city_code = 'CITY_ZZ' THEN NULL ELSE 'IN' END AS jurisdiction FROM {table}
-        WHERE {day} < DATE '2005-01-31' - {days} - INTERVAL {months} MONTHS"""
-        for name, table, key, day, days, months in RETAINED
-    ]
-    return " UNION ALL ".join(parts)
+def _expired(name: str, table: str, key: str, day: str, kept: str) -> str:
+    """SQL for the rows of a class that have expired; ``kept`` is the first day that stays."""
+    return f"""SELECT '{name}' AS data_class, {key} AS row_id, {day} AS event_date,
+    CASE WHEN city_code = 'CITY_ZZ' THEN NULL ELSE 'IN' END AS jurisdiction FROM {table} WHERE {day} < {kept}"""
 
 
-@query("retention_by_class", _retention_sql(), "reward_ledger anpr_camera_events trip_events zone_occupancy_hourly")
+# The periods are written out here once more, so that the policy of the library is tested by it.
+_EXPIRED = " UNION ALL ".join(
+    (
+        _expired("ledger", "reward_ledger", "ledger_id", "event_date", "DATE '1998-01-31'"),
+        _expired("camera", "anpr_camera_events", "event_id", "event_date", "DATE '2004-01-31'"),
+        _expired("trip", "trip_events", "trip_id", "event_date", "DATE '2004-11-02'"),
+        _expired("reference", "reference_feed_cache", "cache_id", "fetched_date", "DATE '2002-01-31'"),
+        _expired("derived", "zone_occupancy_hourly", "occupancy_id", "cast(hour_ts AS date)", "DATE '2004-01-31'"),
+    )
+)
+_CLASS_VIEWS = "reward_ledger anpr_camera_events trip_events reference_feed_cache zone_occupancy_hourly"
+
+
+@query("retention_by_class", _EXPIRED, _CLASS_VIEWS)
 def retention_by_class(spark, sf):
     known = F.when(F.col("city_code") != "CITY_ZZ", F.lit("IN")).alias("jurisdiction")
     out = None
-    for name, table, key, day, days, months in RETAINED:
-        rows = view(spark, sf, table).withColumn("event_date", F.expr(day))
-        old = partitions.past_retention(rows, "event_date", partitions.oldest_kept(RETENTION_DAY, days, months))
-        part = old.select(F.lit(name).alias("data_class"), F.col(key).alias("row_id"), "event_date", known)
-        out = part if out is None else out.unionByName(part)
+    for c in retention.CLASSES:
+        if c.table in _CLASS_VIEWS.split():
+            rows = view(spark, sf, c.table).withColumn("event_date", F.expr(c.day))
+            old = retention.expired(rows, "event_date", retention.cutoffs(retention.POLICY, c.name, RETENTION_DAY), None)
+            part = old.select(F.lit(c.name).alias("data_class"), F.col(c.key).alias("row_id"), "event_date", known)
+            out = part if out is None else out.unionByName(part)
     return out
 
 
+@query(
+    "job_retention",
+    """SELECT 'ledger' AS data_class, ledger_id AS row_id, event_date FROM reward_ledger WHERE event_date >= DATE '1998-01-31'
+    UNION ALL SELECT 'reference', cache_id, fetched_date FROM reference_feed_cache
+    WHERE city_code = 'BLR' OR fetched_date >= CASE city_code WHEN 'DEL' THEN DATE '2004-01-31' ELSE DATE '2002-01-31' END""",
+    "reward_ledger reference_feed_cache",
+)
+def job_retention(spark, sf):
+    """Ledger by month, with one mixed month; feeds by day, where two jurisdictions have periods of their own."""
+    lake = SampleLake(spark)
+    ledger = DayTable(spark, f"{lake.root}/raw/reward_ledger", REWARD_LEDGER_MONTHLY).create(NOW)
+    entries = view(spark, sf, "reward_ledger").withColumn("event_month", F.trunc("event_date", "month"))
+    ledger.replace_days(entries, [r[0] for r in entries.select("event_month").distinct().collect()], now=NOW)
+    feeds = DayTable(spark, f"{lake.root}/raw/reference_feed_cache", REFERENCE_FEED_CACHE).create(NOW)
+    cached = view(spark, sf, "reference_feed_cache")
+    feeds.replace_days(cached, [r[0] for r in cached.select("fetched_date").distinct().collect()], now=NOW)
+    cities = spark.createDataFrame([("DEL", "IN-DL", None, None), ("BLR", "IN-KA", None, None)], CITIES_SCHEMA)
+    own = (retention.Rule("reference", "IN-DL", months=12), retention.Rule("reference", "IN-KA"))
+    for name, table in (("ledger", ledger), ("reference", feeds)):
+        retention.apply_retention(spark, table, name, RETENTION_DAY, retention.POLICY + own, cities, NOW)
+    return ledger.read().select(F.lit("ledger").alias("data_class"), F.col("ledger_id").alias("row_id"), "event_date").unionByName(
+        feeds.read().select(F.lit("reference").alias("data_class"), F.col("cache_id").alias("row_id"), F.col("fetched_date").alias("event_date"))
+    )
+
+
 @query(
     "account_snapshot",
     """SELECT account_id, email_hash, city_code, status, DATE '2024-01-31' AS snapshot_date FROM accounts""",

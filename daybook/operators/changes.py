@@ -67,17 +67,15 @@ def without_erased(rows: DataFrame, register: DataFrame, column: str) -> DataFra
     return without(rows, register, column)
 
 
-def with_jurisdiction(rows: DataFrame, cities: DataFrame) -> DataFrame:
-    """Adds the jurisdiction of the row's city; ``cities`` has one row per city."""
-    return rows.join(cities, "city_code", "left")
-
-
-def conform(rows: DataFrame, schema) -> DataFrame:
-    """Declared columns in order, cast to their types; absent ones are null, undeclared ones are dropped."""
-    have = set(rows.columns)
-    return rows.select(
-        *(
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema
-        )
-    )
+def conform(rows: DataFrame, schema, keep_added: bool = False) -> DataFrame:
+    """Declared columns in order, cast to their types; absent ones are null, undeclared ones are dropped.
+
+    With ``keep_added`` undeclared ones follow the declared ones as they are.
+    """
+    have, declared = set(rows.columns), {f.name.lower() for f in schema}
+    columns = [
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema
+    ]
+    if keep_added:
+        columns += [F.col(f"`{c}`") for c in rows.columns if c.lower() not in declared]
+    return rows.select(*columns)

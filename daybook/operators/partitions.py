@@ -82,8 +82,3 @@ def oldest_kept(today: dt.date, keep_days: int = 0, keep_months: int = 0) -> dt.
     months = day.year * 12 + day.month - 1 - keep_months
     year, month = divmod(months, 12)
     return dt.date(year, month + 1, min(day.day, calendar.monthrange(year, month + 1)[1]))
-
-
-def past_retention(rows: DataFrame, day_column: str, cutoff: dt.date) -> DataFrame:
-    """Rows of a class that are older than it keeps them; the cutoff is a literal, so scans prune by it."""
-    return rows.filter(F.col(day_column) < F.lit(cutoff))

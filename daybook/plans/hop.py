@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import evidence
 from daybook.operators.reconcile import count_checksum_by_day, mismatch_text, reconcile
-from daybook.tables.daytable import DayTable
+from daybook.tables.daytable import Commit, DayTable
 
 RESULT_SCHEMA = (
     "event_date DATE, row_count BIGINT, checksum BIGINT, duration_seconds DOUBLE, success BOOLEAN, error STRING"
@@ -69,10 +69,12 @@ def copy_days(
     run_id: str | None = None,
     now: dt.datetime | None = None,
     totals_between: Callable[[dt.date, dt.date], DataFrame] | None = None,
+    write: Callable[[DataFrame, Sequence[dt.date]], Commit] | None = None,
 ) -> RunReport:
     """Replace ``days`` of ``target``, compare both sides per day, write one manifest per day.
 
-    ``totals_between`` counts the source side per day; without it the rows themselves are counted.
+    ``totals_between`` counts the source side per day; without it the rows themselves are counted, those of a single
+    day while they are written. ``write`` makes rows the contents of the given days in its own way.
 
     All days go through one write. When that fails the days are split in halves until the ones that
     cannot be copied stand alone, so a bad day does not stop the others. Every day gets a manifest,
@@ -89,7 +91,7 @@ def copy_days(
             continue
         started = time.monotonic()
         try:
-            results = _copy_chunk(spark, rows_between, totals_between, target, chunk, rebalance, now)
+            results = _copy_chunk(spark, rows_between, totals_between, target, chunk, rebalance, now, write)
         except Exception as failure:  # noqa: BLE001 - any failure of a day is recorded, not raised
             if len(chunk) > 1:
                 middle = len(chunk) // 2
@@ -106,21 +108,21 @@ def copy_days(
     return report
 
 
-def _copy_chunk(spark, rows_between, totals_between, target: DayTable, chunk, rebalance, now) -> list[DayResult]:
+def _copy_chunk(spark, rows_between, totals_between, target: DayTable, chunk, rebalance, now, write) -> list[DayResult]:
     first, last = chunk[0], chunk[-1]
     rows = rows_between(first, last)
     day = target.spec.date_column
     if len(chunk) != (last - first).days + 1:
         rows = rows.filter(rows[day].isin(chunk))
     key = target.spec.primary_key
-    commit = target.replace_days(rows, chunk, rebalance=rebalance, now=now)
-    if len(chunk) == 1:
+    commit = write(rows, chunk) if write else target.replace_days(rows, chunk, rebalance=rebalance, now=now)
+    if totals_between is not None:
+        source = totals_between(first, last).filter(F.col("event_date").isin(chunk))
+    elif len(chunk) == 1 and not write:
         # The write itself counted what it was given; nothing is read twice.
         source = spark.createDataFrame(
             [(first, commit.rows, commit.checksum)], "event_date DATE, row_count BIGINT, checksum BIGINT"
         )
-    elif totals_between is not None:
-        source = totals_between(first, last).filter(F.col("event_date").isin(chunk))
     else:
         source = count_checksum_by_day(rows, key, day)
     stored = count_checksum_by_day(target.read(days=chunk), key, day)

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from daybook.operators import evidence, partitions, reports
 from daybook.operators.changes import has_duplicates, new_rows, without_erased, without_synthetic
+from daybook.operators.cities import as_of, checked
 from daybook.operators.evidence import utc
-from daybook.operators.reconcile import count_checksum
+from daybook.operators.reconcile import count_checksum, count_checksum_by_day
+from daybook.plans.dedup import MergeLatest
 from daybook.plans.hop import RunReport, copy_days
+from daybook.tables.columns import accept, evolved
 from daybook.tables.daytable import DayTable
 
 
@@ -32,15 +35,20 @@ def export_days(
     drop_synthetic: bool = False,
     run_id: str | None = None,
     now: dt.datetime | None = None,
+    cities: DataFrame | None = None,
 ) -> RunReport:
     """Copy source rows of ``days`` into the raw zone.
 
     ``erased`` is an erasure register (one column, named like the table's identifier): rows it lists do
-    not come back. ``drop_synthetic`` keeps test rows out of the lake.
+    not come back. ``drop_synthetic`` keeps test rows out of the lake. ``cities`` (``operators.cities``) adds each
+    row's jurisdiction. Columns that the source has beyond the declared ones, if it keeps them, are added to the table.
     """
+    cities = checked(cities) if cities is not None else None
 
     def rows_between(first: dt.date, last: dt.date) -> DataFrame:
         rows = source.rows(first, last)
+        if cities is not None:
+            rows = as_of(rows, cities, raw.spec.date_column)
         if drop_synthetic:
             rows = without_synthetic(rows)
         if erased is not None:
@@ -49,6 +57,9 @@ def export_days(
 
     # The source may count itself, as long as nothing is kept back here.
     totals = source.totals if erased is None and not drop_synthetic else None
+    raw = raw.create(now)
+    if cities is not None or getattr(source, "keep_added", False):
+        raw = accept(raw, rows_between(min(days), max(days)))
     return copy_days(spark, rows_between, raw, lake, days, run_id=run_id, now=now, totals_between=totals)
 
 
@@ -92,10 +103,33 @@ def curate_days(
     days: Sequence[dt.date],
     run_id: str | None = None,
     now: dt.datetime | None = None,
+    dedup_by: str | None = None,
+    cities: DataFrame | None = None,
 ) -> RunReport:
-    """Copy days from raw to curated. Raw files are laid out already, so nothing is shuffled."""
+    """Copy days from raw to curated, with every column raw has gained. Raw counts its own rows by itself.
+
+    As they are, raw files are laid out already, so nothing is shuffled. ``dedup_by`` names the version column: of rows
+    with one key, in these days or any other day of curated, only the newest stays (``plans.dedup``). ``cities`` adds
+    each row's jurisdiction.
+    """
+    raw, curated = evolved(raw), curated.create(now)
+    cities = checked(cities) if cities is not None else None
+
+    def rows_between(first: dt.date, last: dt.date) -> DataFrame:
+        rows = raw.read_between(first, last)
+        return as_of(rows, cities, raw.spec.date_column) if cities is not None else rows
+
+    key, day = raw.spec.primary_key, raw.spec.date_column
+    curated = accept(curated, rows_between(min(days), max(days)))
+    if dedup_by is None:
+        return copy_days(
+            spark, rows_between, curated, lake, days, rebalance=False, run_id=run_id, now=now,
+            totals_between=lambda a, b: count_checksum_by_day(raw.read_between(a, b), key, day),
+        )
+    merge = MergeLatest(curated, dedup_by, now)
     return copy_days(
-        spark, lambda a, b: raw.read_between(a, b), curated, lake, days, rebalance=False, run_id=run_id, now=now
+        spark, rows_between, curated, lake, days, run_id=run_id, now=now, write=merge.write,
+        totals_between=lambda a, b: count_checksum_by_day(merge.expected(), key, day),
     )
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -33,6 +34,10 @@ class TableSpec:
     def renamed(self, name: str) -> TableSpec:
         return TableSpec(name, self.schema, self.primary_key, self.partition_columns, self.identifier)
 
+    def with_fields(self, fields: Iterable[T.StructField]) -> TableSpec:
+        """The same table with more columns behind its own."""
+        return replace(self, schema=T.StructType([*self.schema.fields, *fields]))
+
 
 TRIP_EVENTS = TableSpec(
     "trip_events",
@@ -130,6 +135,8 @@ REFERENCE_FEED_CACHE = TableSpec(
         provider="string",
         city_code="string",
         payload_summary="string",
+        fetched_date="date",
     ),
     "cache_id",
+    partition_columns=("fetched_date", "city_code"),
 )

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.changes import conform
 from daybook.operators.reconcile import count_checksum_by_day
 from daybook.schemas import TableSpec
 
@@ -22,13 +23,20 @@ class _Counted:
 
 @dataclass(frozen=True)
 class ParquetSource(_Counted):
-    """Rows of a Parquet dataset read with the declared schema."""
+    """Rows of a Parquet dataset read with the declared schema.
+
+    With ``keep_added`` the files' own schemas are merged, and columns that are not declared follow the declared ones.
+    """
 
     spark: SparkSession
     path: str
     spec: TableSpec
+    keep_added: bool = False
 
     def all_rows(self) -> DataFrame:
+        if self.keep_added:
+            rows = self.spark.read.option("mergeSchema", "true").parquet(self.path)
+            return conform(rows, self.spec.schema, keep_added=True)
         return self.spark.read.schema(self.spec.schema).parquet(self.path).select(*self.spec.columns)
 
     def rows(self, first: dt.date, last: dt.date) -> DataFrame:
@@ -37,12 +45,16 @@ class ParquetSource(_Counted):
 
 @dataclass(frozen=True)
 class FrameSource(_Counted):
-    """Rows of a DataFrame that already has the declared columns."""
+    """Rows of a DataFrame that already has the declared columns; ``keep_added`` as for ``ParquetSource``."""
 
     frame: DataFrame
     spec: TableSpec
+    keep_added: bool = False
 
     def rows(self, first: dt.date, last: dt.date) -> DataFrame:
+        if self.keep_added:
+            rows = conform(self.frame, self.spec.schema, keep_added=True)
+            return rows.filter(F.col(self.spec.date_column).between(first, last))
         return self.frame.filter(F.col(self.spec.date_column).between(first, last)).select(*self.spec.columns)
 
 

@@ -101,6 +101,7 @@ VIEWS: dict[str, View] = {
             "city_code": "CASE WHEN doc_id % 5 = 0 THEN 'BLR' WHEN doc_id % 5 = 1 THEN 'MUM' "
             "WHEN doc_id % 5 = 2 THEN 'DEL' WHEN doc_id % 5 = 3 THEN 'HYD' ELSE 'PUN' END",
             "payload_summary": "substr(text, 1, 40)",
+            "fetched_date": "DATE '2001-01-01' + cast(doc_id % 149 AS int) * 10",
         },
     ),
     # Operational inputs, derived from the same tables so that they grow with them.

@@ -179,11 +179,11 @@ class DayTable:
         if days is not None:
             wanted = set(days)
             live = tuple(e for e in live if e.day in wanted)
-        return self._scan(live).select(*self.spec.columns)
+        return self.scan_entries(live).select(*self.spec.columns)
 
     def read_between(self, first: dt.date, last: dt.date, version: int | None = None) -> DataFrame:
         live = tuple(e for e in self.snapshot(version).live if first <= e.day <= last)
-        return self._scan(live).select(*self.spec.columns)
+        return self.scan_entries(live).select(*self.spec.columns)
 
     def as_view(self, name: str | None = None, version: int | None = None) -> str:
         """Temp views for SQL users: the rows as ``name`` and the log as ``name$snapshots``.
@@ -198,7 +198,8 @@ class DayTable:
     def _directory(self, commit: str, day: dt.date) -> str:
         return f"{self.data_root}/commit={commit}/{self.spec.date_column}={day.isoformat()}"
 
-    def _scan(self, live: Iterable[Live]) -> DataFrame:
+    def scan_entries(self, live: Iterable[Live]) -> DataFrame:
+        """Rows of log entries, whatever snapshot they belong to."""
         paths: list[str] = []
         for entry in live:
             if entry.files is None:
@@ -259,7 +260,7 @@ class DayTable:
         return Staged(token, written, found["rows"], found["checksum"])
 
     def read_staged(self, staged: Staged) -> DataFrame:
-        return self._scan(Live(d, staged.commit) for d in staged.days).select(*self.spec.columns)
+        return self.scan_entries(Live(d, staged.commit) for d in staged.days).select(*self.spec.columns)
 
     def publish(
         self, staged: Staged, replaced: Iterable[dt.date], operation: str, now: dt.datetime | None = None
@@ -317,7 +318,7 @@ class DayTable:
         if not live:
             key_type = self.spec.schema[column].dataType.simpleString()
             return self.spark.createDataFrame([], f"day DATE, file STRING, {column} {key_type}, rows BIGINT")
-        named = self._scan(live).select(
+        named = self.scan_entries(live).select(
             F.col(self.spec.date_column).alias("day"), F.col(column), self.file_name().alias("file")
         )
         return matching(named, keys, column).groupBy("day", "file", column).agg(
@@ -331,7 +332,7 @@ class DayTable:
         past = {e for i in ids[:-1] for e in self.snapshot(i).live} - current
         if not past:
             return False
-        return not matching(self._scan(past).select(column), keys, column).isEmpty()
+        return not matching(self.scan_entries(past).select(column), keys, column).isEmpty()
 
     def delete_keys(
         self, keys: DataFrame, column: str, hits: DataFrame | None = None, now: dt.datetime | None = None
@@ -347,8 +348,8 @@ class DayTable:
         totals = hits.groupBy("day").agg(F.sum("rows").alias("rows")).collect()
         if not totals:
             return None
-        rewritten, kept = self._split_by_hits(parent, frozenset(r.day for r in totals), hits)
-        before = self._scan(rewritten)
+        rewritten, kept = self.split_by_hits(parent, frozenset(r.day for r in totals), hits)
+        before = self.scan_entries(rewritten)
         staged = self.stage(
             without(before.select(*self.spec.columns), keys, column), {e.day for e in rewritten}, rebalance=False
         )
@@ -356,11 +357,25 @@ class DayTable:
         expected = before.count() - sum(r.rows for r in totals)
         if staged.rows != expected:
             raise BadBatch(f"{self.spec.name}: {staged.rows} row(s) would survive the delete instead of {expected}")
-        kept += [Live(d, staged.commit) for d in staged.days]
-        snapshot_id = self._publish(parent, kept, parent.days, "delete", now)
+        return self.publish_entries(parent, kept, staged, "delete", now)
+
+    def publish_entries(
+        self,
+        parent: Snapshot,
+        kept: Iterable[Live],
+        staged: Staged | None,
+        operation: str,
+        now: dt.datetime | None = None,
+        dropped: Iterable[dt.date] = (),
+    ) -> Commit:
+        """A snapshot of the ``kept`` entries and the staged rows without the ``dropped`` days, if ``parent`` is the newest."""
+        staged = staged or Staged("", frozenset(), 0, 0)
+        live = [*kept, *(Live(d, staged.commit) for d in staged.days)]
+        days = (parent.days | staged.days) - frozenset(dropped)
+        snapshot_id = self._publish(parent, live, days, operation, now)
         return Commit(snapshot_id, staged.rows, staged.checksum, staged.days)
 
-    def _split_by_hits(
+    def split_by_hits(
         self, parent: Snapshot, days: frozenset[dt.date], hits: DataFrame
     ) -> tuple[list[Live], list[Live]]:
         """What has to be rewritten because of ``hits`` on these days, and what stays.
@@ -448,7 +463,7 @@ class DayTable:
         )
 
     @staticmethod
-    def _named(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def named(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
         """What snapshots refer to: whole days of a commit, and single files."""
         refs = snapshots.select(F.explode("live").alias("e")).select("e.*")
         whole = refs.filter(F.col("files").isNull()).select("commit", "day").distinct()
@@ -456,7 +471,7 @@ class DayTable:
 
     def orphan_files(self) -> DataFrame:
         """Data files that no retained snapshot refers to."""
-        whole, single = self._named(self.snapshots())
+        whole, single = self.named(self.snapshots())
         return (
             self.files().join(whole, ["commit", "day"], "left_anti").join(single, "file", "left_anti")
         )
@@ -464,7 +479,7 @@ class DayTable:
     def live_files(self, snapshot: Snapshot | None = None, folders: Iterable[str] | None = None) -> DataFrame:
         """Data files of a snapshot, the newest by default; ``folders`` restricts the listing to some of its days."""
         snapshot = snapshot or self.snapshot()
-        whole, single = self._named(self.snapshots().filter(F.col("snapshot_id") == F.lit(snapshot.snapshot_id)))
+        whole, single = self.named(self.snapshots().filter(F.col("snapshot_id") == F.lit(snapshot.snapshot_id)))
         files = self.files(folders)
         return files.join(whole, ["commit", "day"], "left_semi").select(*files.columns).unionByName(
             files.join(single, "file", "left_semi").select(*files.columns)

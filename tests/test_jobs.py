@@ -5,8 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.operators import evidence
+from daybook.operators.cities import CITIES_SCHEMA
 from daybook.plans import erase as erase_plan
 from daybook.plans import hop
+from daybook.plans.dedup import MergeLatest
 from daybook.plans.erase import Target, erase
 from daybook.plans.hop import RunFailed
 from daybook.plans.jobs import (
@@ -21,7 +23,9 @@ from daybook.plans.jobs import (
 )
 from daybook.schemas import REWARD_LEDGER, TRIP_EVENTS, TRIP_EVENTS_CURATED
 from daybook.sources.events import FrameSource
+from daybook.tables.columns import ColumnConflict, accept, added_columns, evolved
 from daybook.tables.daytable import DayTable, SnapshotNotFound
+from daybook.tables.keyindex import KeyIndex
 from daybook.tables.storage import Storage
 from tests.fixture import D15, D16, NOW, TRIPS, ids, trips
 
@@ -508,3 +512,175 @@ def test_command_line(spark, lake_root):
     assert [d for d, _, _ in done.dropped] == [D15]
     with pytest.raises(ValueError):
         run(["export", "--lake", lake, "--parquet", "x", "--start", "2026-01-15"], spark)
+
+
+# ---- columns, cities and one row per key ----------------------------------------------------------------
+
+TRIP = "trip_id long, vehicle_id_hash string, city_code string, event_date date, distance_km double, fare_amount double, created_at timestamp_ntz"
+
+
+def _at(hour):
+    return dt.datetime(2026, 1, 15, hour)
+
+
+def _trips(spark, *rows):
+    """(key, day, version hour, fare) as trips."""
+    return spark.createDataFrame([(k, f"v{k}", "BLR", d, 1.0, float(fare), _at(h)) for k, d, h, fare in rows], TRIP)
+
+
+def _state(table):
+    return sorted((r.trip_id, r.event_date, r.created_at.hour, r.fare_amount) for r in table.read().collect())
+
+
+def test_curate_keeps_the_newest_row_of_a_key_over_all_days(spark, lake_root, raw, curated):
+    first = _trips(spark, (1, D15, 5, 1), (2, D15, 5, 1), (3, D15, 5, 1), (4, D15, 5, 1), (4, D15, 6, 2), (4, D15, 6, 2))
+    export_days(spark, FrameSource(first, TRIP_EVENTS), raw, lake_root, [D15], now=NOW).raise_if_failed()
+    report = curate_days(spark, raw, curated, lake_root, [D15], now=NOW, dedup_by="created_at").raise_if_failed()
+    assert report.results[0].row_count == 4
+    assert _state(curated) == [(1, D15, 5, 1), (2, D15, 5, 1), (3, D15, 5, 1), (4, D15, 6, 2)]
+    # The next day brings a newer row of 1, an older one of 2, one of 3 that is just as new but larger, and a new key.
+    second = _trips(spark, (1, D16, 9, 7), (2, D16, 1, 7), (3, D16, 5, 7), (5, D16, 5, 7))
+    export_days(spark, FrameSource(second, TRIP_EVENTS), raw, lake_root, [D16], now=NOW).raise_if_failed()
+    for _ in range(2):  # and a second run changes nothing
+        report = curate_days(spark, raw, curated, lake_root, [D16], now=NOW, dedup_by="created_at").raise_if_failed()
+        assert _state(curated) == [(1, D16, 9, 7), (2, D15, 5, 1), (3, D16, 5, 7), (4, D15, 6, 2), (5, D16, 5, 7)]
+    assert report.results[0].row_count == 3
+    assert curated.read(version=2).count() == 4  # what was there before can still be read
+    # The same days in the other order end up the same.
+    other = DayTable(spark, f"{lake_root}/curated/other", TRIP_EVENTS_CURATED)
+    for day in (D16, D15):
+        curate_days(spark, raw, other, lake_root, [day], now=NOW, dedup_by="created_at").raise_if_failed()
+    assert _state(other) == _state(curated)
+
+
+def test_dedup_against_plain_version(spark, lake_root, raw, curated):
+    import random
+
+    rng = random.Random(4)
+    days = [D15 + dt.timedelta(days=i) for i in range(5)]
+    rows = [(rng.randrange(40) - 5, rng.choice(days), rng.randrange(4), rng.randrange(3)) for _ in range(150)]
+    export_days(spark, FrameSource(_trips(spark, *rows), TRIP_EVENTS), raw, lake_root, days, now=NOW).raise_if_failed()
+    for chunk in ([days[2]], [days[4], days[0]], [days[1]], [days[3]], [days[2]]):
+        curate_days(spark, raw, curated, lake_root, chunk, now=NOW, dedup_by="created_at").raise_if_failed()
+    newest = {}
+    for k, d, h, fare in rows:  # columns after the version, in the table's order, settle ties
+        newest[k] = max(newest.get(k, (-1,)), (h, d, fare))
+    assert _state(curated) == sorted((k, d, h, fare) for k, (h, d, fare) in newest.items())
+
+
+def test_dedup_reads_only_files_that_hold_a_key(spark, lake_root, raw, curated):
+    days = [D15 + dt.timedelta(days=i) for i in range(8)]
+    rows = _trips(spark, *[(1000 * i + k, d, 5, 1) for i, d in enumerate(days) for k in range(50)])
+    export_days(spark, FrameSource(rows, TRIP_EVENTS), raw, lake_root, days, now=NOW).raise_if_failed()
+    curate_days(spark, raw, curated, lake_root, days, now=NOW, dedup_by="created_at").raise_if_failed()
+    before = set(curated.read().inputFiles())
+    late = days[-1] + dt.timedelta(days=1)
+    batch = _trips(spark, (2003, late, 9, 2), (2004, late, 1, 2), (5999, late, 9, 2), (99_000_000, late, 5, 2))
+    merge = MergeLatest(curated, "created_at", NOW)
+    merge.write(batch, [late])
+    # 5999 lies in the range of no file; 2003 replaces a row and 2004 is older than the stored one.
+    assert merge.files_read == 1
+    assert len(before - set(curated.read().inputFiles())) == 1
+    assert sorted(r.trip_id for r in curated.read(days=[late]).collect()) == [2003, 5999, 99_000_000]
+    assert curated.read().count() == 8 * 50 + 2
+    merge.write(_trips(spark, (777_777, late, 1, 1)), [late])
+    assert merge.files_read == 0
+    assert KeyIndex(curated).prune() == 0
+    curated.forget_history(NOW)
+    assert curated.read().count() == 8 * 50 and KeyIndex(curated).refresh() >= 0
+
+
+@pytest.mark.parametrize("keys", [[1], [0, -1, -40_000], [32_768, 32_769, 65_536, 10**15], list(range(-50, 50))])
+def test_key_index_is_exact(spark, raw, keys):
+    raw.create(NOW).replace_days(_trips(spark, *[(k, D15, 1, 1) for k in keys]), [D15], now=NOW)
+    index = KeyIndex(raw)
+    assert index.refresh() == 1 and index.refresh() == 0
+    probes = sorted({k + d for k in keys for d in (-1, 0, 1, 32_768)})
+    for k in probes[:40]:
+        assert (index.holders(spark.createDataFrame([(k,)], "trip_id long")).count() > 0) == (k in keys), k
+
+
+def test_a_lost_index_build_is_made_again(spark, raw):
+    raw.create(NOW).replace_days(_trips(spark, (1, D15, 1, 1)), [D15], now=NOW)
+    index = KeyIndex(raw)
+    index.refresh()
+    for entry in raw.storage.list(index.root):
+        if entry.name.endswith(".json"):
+            raw.storage.delete(entry.path)
+    assert index.rows().count() == 0
+    assert index.refresh() == 1 and index.rows().count() == 1
+
+
+def test_added_columns_are_kept_by_export_and_curate(spark, lake_root, raw, curated):
+    old = _trips(spark, (1, D15, 5, 1))
+    export_days(spark, FrameSource(old, TRIP_EVENTS), raw, lake_root, [D15], now=NOW).raise_if_failed()
+    curate_days(spark, raw, curated, lake_root, [D15], now=NOW).raise_if_failed()
+    new = _trips(spark, (2, D16, 5, 1)).drop("fare_amount").withColumn("surge", F.lit(1.5)).withColumn("Note", F.lit(None))
+    export_days(spark, FrameSource(new, TRIP_EVENTS, keep_added=True), raw, lake_root, [D16], now=NOW).raise_if_failed()
+    curate_days(spark, raw, curated, lake_root, [D16], now=NOW).raise_if_failed()
+    for table in (raw, curated):
+        assert table.read().columns == TRIP_EVENTS.columns  # declared readers see what they declared
+        assert [(a.name, a.type, a.since) for a in added_columns(table)] == [("surge", "double", 3)]
+        rows = {r.trip_id: r for r in evolved(table).read().collect()}
+        assert (rows[1].surge, rows[2].surge, rows[2].fare_amount) == (None, 1.5, None)
+        assert "surge" not in evolved(table, version=2).read(version=2).columns
+    # Curated again without anything new: the column stays.
+    curate_days(spark, raw, curated, lake_root, [D15, D16], now=NOW).raise_if_failed()
+    assert {r.surge for r in evolved(curated).read().collect()} == {None, 1.5}
+
+
+@pytest.mark.parametrize(
+    ("change", "problem"),
+    [
+        ({"surge": "'high'"}, "holds double"),
+        ({"SURGE": "true"}, "holds double"),
+        ({"trip_id": "'x'"}, "holds bigint"),
+        ({"bad name": "1"}, "no name"),
+        ({"surge": "1"}, None),
+        ({"extra": "1"}, None),
+    ],
+)
+def test_columns_do_not_change_their_type(spark, raw, change, problem):
+    raw.create(NOW)
+    accept(raw, _trips(spark, (1, D15, 5, 1)).withColumn("surge", F.lit(1.5)))
+    rows = _trips(spark, (1, D15, 5, 1)).withColumns({name: F.expr(e) for name, e in change.items()})
+    if problem:
+        with pytest.raises(ColumnConflict, match=problem):
+            accept(raw, rows)
+        assert [a.name for a in added_columns(raw)] == ["surge"]
+    else:
+        accept(raw, rows)
+        assert {a.name for a in added_columns(raw)} == {"surge", *change}
+
+
+CITIES = [("BLR", "IN", None, D16), ("BLR", "IN-KA", D16, None), ("MUM", "IN", D16, None)]
+
+
+def test_jurisdiction_is_that_of_the_day(spark, lake_root, raw, curated):
+    cities = spark.createDataFrame(CITIES, CITIES_SCHEMA)
+    rows = _trips(spark, (1, D15, 5, 1), (2, D16, 5, 1), (3, D15, 5, 1), (4, D16, 5, 1), (5, D16, 5, 1)).withColumn(
+        "city_code", F.when(F.col("trip_id").isin(3, 4), "MUM").when(F.col("trip_id") == 5, "XXX").otherwise("BLR")
+    )
+    export_days(spark, FrameSource(rows, TRIP_EVENTS), raw, lake_root, [D15, D16], now=NOW).raise_if_failed()
+    curate_days(spark, raw, curated, lake_root, [D15, D16], now=NOW, cities=cities).raise_if_failed()
+    found = {r.trip_id: r.jurisdiction for r in evolved(curated).read().collect()}
+    assert found == {1: "IN", 2: "IN-KA", 3: None, 4: "IN", 5: None}
+    again = DayTable(spark, f"{lake_root}/raw/again", TRIP_EVENTS)
+    export_days(spark, FrameSource(rows, TRIP_EVENTS), again, lake_root, [D15, D16], now=NOW, cities=cities).raise_if_failed()
+    assert {r.trip_id: r.jurisdiction for r in evolved(again).read().collect()} == found
+    twice = spark.createDataFrame([*CITIES, ("BLR", "EU", D17, None)], CITIES_SCHEMA)
+    with pytest.raises(ValueError, match="overlap"):
+        curate_days(spark, raw, curated, lake_root, [D15], now=NOW, cities=twice)
+
+
+def test_curate_counts_raw_by_itself(spark, lake_root, raw, curated, source, monkeypatch):
+    """Rows that are lost between raw and the write are noticed, for one day as for many."""
+    export_days(spark, source, raw, lake_root, [D15, D16], now=NOW).raise_if_failed()
+    replace_days = DayTable.replace_days
+    monkeypatch.setattr(
+        DayTable, "replace_days", lambda self, rows, *a, **k: replace_days(self, rows.filter("trip_id <> 1"), *a, **k)
+    )
+    for days in ([D15], [D15, D16]):
+        report = curate_days(spark, raw, curated, lake_root, days, now=NOW)
+        assert [(r.event_date, r.success) for r in report.results] == [(d, d != D15) for d in days]
+        assert "mismatch" in report.results[0].error
