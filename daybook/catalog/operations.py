@@ -16,9 +16,9 @@ from daybook.schemas import (
     TRIP_EVENTS,
     ZONE_OCCUPANCY_HOURLY,
 )
-from daybook.sources.given import view
+from daybook.sources.given import given, view
 from daybook.sources.operations import scan_query_stats, scan_run_log
-from daybook.tables.storage import Storage
+from daybook.tables.storage import Storage, write_texts
 
 
 @query("scan_run_log", "SELECT ts, message FROM run_log", "run_log")
@@ -48,21 +48,37 @@ def query_stats(spark, sf):
     return scan_query_stats(spark, path)
 
 
-@query(
-    "write_storage_metrics",
-    """SELECT prefix, prefix <> 'athena-results/export' AND (SELECT count(*) FROM trip_events) > 0 AS has_bytes
-    FROM (VALUES ('raw'), ('curated'), ('athena-results/export'), ('export-manifests')) v(prefix)""",
-    "trip_events",
-)
+def _listed_texts(spark, sf) -> str:
+    """A lake folder with one object per document, whose bytes are those of its text; some under no known prefix."""
+    root = SampleLake(spark, "objects").root
+    prefix = (
+        F.when(F.col("doc_id") % 5 == 0, "raw/").when(F.col("doc_id") % 5 == 1, "curated/")
+        .when(F.col("doc_id") % 5 == 2, "export-manifests/").when(F.col("doc_id") % 5 == 3, "athena-results/export/")
+        .otherwise("elsewhere/")
+    )
+    texts = given(spark, sf, "documents").filter("doc_id IS NOT NULL").select(
+        F.concat(prefix, (F.col("doc_id") % 7).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
+        F.coalesce("text", F.lit("")).alias("body"),
+    )
+    write_texts(texts, root)
+    return root
+
+
+_STORED = """SELECT v.prefix, cast(coalesce(sum(strlen(d.text)), 0) AS bigint) AS bytes
+    FROM (VALUES ('raw', 0), ('curated', 1), ('export-manifests', 2), ('athena-results/export', 3)) v(prefix, part)
+    LEFT JOIN documents d ON d.doc_id % 5 = v.part GROUP BY v.prefix"""
+
+
+@query("write_storage_metrics", _STORED)
 def storage_metrics(spark, sf):
-    lake, metrics = exported(spark, sf).root, f"{SampleLake(spark, 'metrics').root}/storage"
+    lake, metrics = _listed_texts(spark, sf), f"{SampleLake(spark, 'metrics').root}/storage"
     reports.publish_storage(spark, lake, dt.datetime(2024, 1, 31, tzinfo=dt.timezone.utc), metrics)
-    return reports.storage_metrics(spark, lake, metrics).select("prefix", (F.col("bytes") > 0).alias("has_bytes"))
+    return reports.storage_metrics(spark, lake, metrics).select("prefix", "bytes")
 
 
-@query("storage_by_prefix")
+@query("storage_by_prefix", _STORED)
 def storage_by_prefix(spark, sf):
-    return reports.storage_bytes(spark, exported(spark, sf).root)
+    return reports.storage_bytes(spark, _listed_texts(spark, sf))
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions.days import date_spine, partition_date, partition_name
 from daybook.operators.evidence import NO_MANIFEST, NOT_SUCCESSFUL, PARSE_ERROR
+from daybook.tables.daytable import DayTable
 from daybook.tables.keys import without
 
 
@@ -23,6 +24,11 @@ def dated(names: DataFrame) -> DataFrame:
     return names.withColumn("event_date", partition_date(F.col("name"))).filter("event_date IS NOT NULL")
 
 
+def stored_days(table: DayTable) -> DataFrame:
+    """Days of which a table has files, from the listing alone: Spark lists in parallel and opens no file."""
+    return table.live_files().select(F.col("day").alias("event_date")).distinct()
+
+
 def missing_partitions(days: DataFrame, existing: DataFrame) -> DataFrame:
     return days.join(existing.select("event_date"), "event_date", "left_anti")
 

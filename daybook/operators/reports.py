@@ -77,16 +77,17 @@ def daily_scan_by_consumer(usage: DataFrame) -> DataFrame:
     return usage.groupBy(_day("ts").alias("day"), "workgroup").agg(F.sum("bytes").alias("bytes"))
 
 
-def _per_consumer(spark: SparkSession, values: Mapping[str, int], name: str) -> DataFrame:
-    # One row per consumer of the fixed tables above.
-    return F.broadcast(spark.createDataFrame(list(values.items()), f"workgroup STRING, {name} BIGINT"))
+def _per_consumer(values: Mapping[str, int]) -> Column:
+    """The value of a row's consumer in one of the fixed tables above, null for any other."""
+    found = F.lit(None).cast("bigint")
+    for workgroup, value in values.items():
+        found = F.when(F.col("workgroup") == workgroup, F.lit(value).cast("bigint")).otherwise(found)
+    return found
 
 
 def over_scan_limit(usage: DataFrame, limits: Mapping[str, int] = SCAN_LIMITS) -> DataFrame:
     """Queries that scanned more than their consumer may per query."""
-    return usage.join(_per_consumer(usage.sparkSession, limits, "scan_limit"), "workgroup").filter(
-        F.col("bytes") > F.col("scan_limit")
-    )
+    return usage.withColumn("scan_limit", _per_consumer(limits)).filter(F.col("bytes") > F.col("scan_limit"))
 
 
 def monthly_cost(usage: DataFrame, budgets: Mapping[str, int] = MONTHLY_BUDGETS) -> DataFrame:
@@ -97,7 +98,7 @@ def monthly_cost(usage: DataFrame, budgets: Mapping[str, int] = MONTHLY_BUDGETS)
         billed.alias("billed_bytes")
     )
     return (
-        per_month.join(_per_consumer(usage.sparkSession, budgets, "budget_usd"), "workgroup")
+        per_month.withColumn("budget_usd", _per_consumer(budgets)).filter("budget_usd IS NOT NULL")
         .withColumn("cost_usd", cost)
         .withColumn("over_budget", F.col("cost_usd") > F.col("budget_usd"))
     )

@@ -76,8 +76,10 @@ def copy_days(
     ``totals_between`` counts the source side per day; without it the rows themselves are counted, those of a single
     day while they are written. ``write`` makes rows the contents of the given days in its own way.
 
-    All days go through one write. When that fails the days are split in halves until the ones that
-    cannot be copied stand alone, so a bad day does not stop the others. Every day gets a manifest,
+    All days go through one write. When that fails, one aggregate over the partition columns finds the days with rows
+    that cannot be stored; they are set aside, and the others are written again. A source that cannot answer that
+    question either is down, and all its days fail at once. Only where the aggregate finds nothing, so that some value
+    deep in a row is to blame, are days split in halves until the bad ones stand alone. Every day gets a manifest,
     failed ones too. Before a day is touched its manifest says that the run has not finished, so older
     evidence of success never outlives a failure, or a driver that is lost on the way.
     """
@@ -93,11 +95,16 @@ def copy_days(
         try:
             results = _copy_chunk(spark, rows_between, totals_between, target, chunk, rebalance, now, write)
         except Exception as failure:  # noqa: BLE001 - any failure of a day is recorded, not raised
-            if len(chunk) > 1:
+            bad = _quarantined(rows_between, target, chunk) if len(chunk) > 1 else dict.fromkeys(chunk, _first_line(failure))
+            if bad is None:
+                bad = dict.fromkeys(chunk, _first_line(failure))
+            elif not bad:
                 middle = len(chunk) // 2
                 pending += [chunk[middle:], chunk[:middle]]
                 continue
-            results = [DayResult(chunk[0], error=_first_line(failure))]
+            pending.append([d for d in chunk if d not in bad])
+            chunk = sorted(bad)
+            results = [DayResult(d, error=bad[d]) for d in chunk]
         # One job carries the chunk, so its time is shared out evenly.
         share = (time.monotonic() - started) / len(chunk)
         for result in results:
@@ -134,6 +141,22 @@ def _copy_chunk(spark, rows_between, totals_between, target: DayTable, chunk, re
     return list(results.values())
 
 
+def _quarantined(rows_between, target: DayTable, chunk: Sequence[dt.date]) -> dict[dt.date, str] | None:
+    """Days with rows that cannot be stored, and why; null when the source cannot be read. At most a row per day."""
+    day = target.spec.date_column
+    try:
+        rows = rows_between(chunk[0], chunk[-1])
+        counts = rows.filter(target.unusable()).groupBy(F.col(day).alias("event_date")).agg(F.count(F.lit(1)).alias("rows"))
+        found = counts.collect()
+    except Exception:  # noqa: BLE001 - the failure that led here is the one to report
+        return None
+    empty = " or ".join(target.spec.partition_columns)
+    return {
+        r.event_date: f"{target.spec.name}: {r.rows} row(s) with an empty {empty}"
+        for r in found if r.event_date in set(chunk)
+    }
+
+
 def _first_line(failure: Exception) -> str:
     return (str(failure).strip() or type(failure).__name__).splitlines()[0]
 

@@ -9,17 +9,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daybook.operators import evidence, partitions, reports
-from daybook.operators.changes import has_duplicates, new_rows, without_erased, without_synthetic
+from daybook.operators.changes import without_erased, without_synthetic
 from daybook.operators.cities import as_of, checked
 from daybook.operators.evidence import utc
 from daybook.operators.reconcile import count_checksum, count_checksum_by_day
 from daybook.plans.dedup import MergeLatest
 from daybook.plans.hop import RunReport, copy_days
 from daybook.tables.columns import accept, evolved
-from daybook.tables.daytable import DayTable
+from daybook.tables.daytable import BadBatch, DayTable
+from daybook.tables.storage import kept, scratch_folder
 
 
 # ---- export and backfill ---------------------------------------------------------------------------
@@ -173,30 +175,35 @@ def compact(
 
 
 def merge_small_files(table: DayTable, target_bytes: int = 256 * 1024**2, now: dt.datetime | None = None):
-    """Rewrite days that hold more files than their bytes call for; the rows stay the same.
+    """Pack small files of a partition, those below half the target, into files of about ``target_bytes``.
 
-    Rows of a partition that deserves n files are spread over n tasks by a hash of the key.
+    Bins are filled by running totals over a partition's listing, smallest files first; a bin of one file is left alone.
+    Only files in bins are read and replaced; all others stay where they are. The rows stay the same.
     """
-    spec = table.spec
-    listed = table.live_files()
+    spec, parent = table.spec, table.snapshot()
+    listed = table.live_files(parent)
     parts = list(spec.partition_columns)
-    sizes = (
-        listed.groupBy(*(_partition_value(spec, c).alias(c) for c in parts))
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
-        .withColumn("wanted", F.greatest(F.ceil(F.col("bytes") / F.lit(target_bytes)), F.lit(1)))
+    small = listed.filter(F.col("bytes") * 2 < F.lit(target_bytes)).select(
+        "file", "day", *(_partition_value(spec, c).alias(f"part_{c}") for c in parts), "bytes"
     )
-    crowded = sizes.filter("files > wanted").select(spec.date_column).distinct()
-    days = [r[0] for r in crowded.collect()]
-    if not days:
+    partition = W.partitionBy(*(f"part_{c}" for c in parts))
+    before = F.sum("bytes").over(partition.orderBy("bytes", "file").rowsBetween(W.unboundedPreceding, -1))
+    binned = small.withColumn("bin", F.floor(F.coalesce(before, F.lit(0)) / target_bytes))
+    together = W.partitionBy(*(f"part_{c}" for c in parts), "bin")
+    binned = binned.withColumn("files", F.count(F.lit(1)).over(together)).filter("files > 1")
+    binned = kept(binned, f"{scratch_folder(table.spark, 'merge')}/bins")
+    # Days and a number of bins: as much as the log holds.
+    found = binned.agg(F.collect_set("day").alias("days"), F.sum(1 / F.col("files")).alias("bins")).first()
+    if not found.days:
         return None
-    plan = sizes.filter(F.col(spec.date_column).isin(days)).select(*parts, "wanted")
-    tasks = plan.agg(F.sum("wanted")).first()[0]
-    slot = F.pmod(F.xxhash64(spec.primary_key), F.coalesce("wanted", F.lit(1)))
-    rows = (
-        table.read(days=days).join(plan, parts, "left").withColumn("slot", slot)
-        .repartition(int(tasks), *parts, "slot").select(*spec.columns)
-    )
-    return table.replace_days(rows, days, operation="merge_files", rebalance=False, now=now)
+    rewritten, untouched = table.split_by_hits(parent, frozenset(found.days), binned)
+    rows = table.scan_entries(rewritten).withColumn("file", table.file_name()).join(binned.select("file", "bin"), "file")
+    laid_out = rows.repartition(max(1, round(found.bins)), *parts, "bin").select(*spec.columns)
+    staged = table.stage(laid_out, found.days, rebalance=False)
+    stored = table.scan_entries(rewritten).count()
+    if staged.rows != stored:
+        raise BadBatch(f"{spec.name}: {staged.rows} row(s) would be left of {stored}")
+    return table.publish_entries(parent, untouched, staged, "merge_files", now)
 
 
 def _partition_value(spec, column: str):
@@ -307,30 +314,38 @@ class MigrationMismatch(RuntimeError):
     """The copy does not hold what the old table holds; nothing was made visible."""
 
 
+# Repeated keys that an error names.
+NAMED_KEYS = 5
+
+
 def migrate(spark: SparkSession, old: DataFrame, target: DayTable, now: dt.datetime | None = None) -> DataFrame:
     """Rewrite an unpartitioned table by day, verify count and key sum, then make it visible.
 
-    The old table is left alone as the way back. Rows whose key is already in the target are ignored.
+    The old table is read once: its rows are counted on the way into the copy, and its days are those of the staged
+    files. Keys that repeat are found in the copy, by key and day alone, before anything is published. The old table is
+    left alone as the way back. Rows whose key is already in the target are ignored; with such a target the old
+    table's keys are read once more, as the write does not see all of them.
     """
     spec = target.spec
     target.create(now)
     key = [spec.primary_key, spec.date_column]
-    rows = old.select(*spec.columns)
-    days = {r[0] for r in rows.select(spec.date_column).distinct().collect()}
+    rows = incoming = old.select(*spec.columns)
     before = target.snapshot()
-    if before.live or has_duplicates(rows, key):
-        incoming = new_rows(rows, target.read(), key)
-    else:
-        incoming = rows
-    staged = target.stage(incoming, days)
-    copied = target.read().unionByName(target.read_staged(staged)) if before.live else target.read_staged(staged)
-    want, have = (count_checksum(x, spec.primary_key).first() for x in (rows, copied))
+    if before.live:
+        incoming = rows.join(target.read().select(*key), key, "left_anti").select(*spec.columns)
+    staged = target.stage(incoming, None)
+    copied = target.read_staged(staged)
+    repeated = copied.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    named = repeated.orderBy(*key).limit(NAMED_KEYS).collect()
+    if named:
+        raise MigrationMismatch(f"{spec.name}: keys repeat, the first are " + ", ".join(str(r[0]) for r in named))
+    want = tuple(count_checksum(rows, spec.primary_key).first()) if before.live else (staged.rows, staged.checksum)
+    have = tuple(count_checksum(target.read().unionByName(copied) if before.live else copied, spec.primary_key).first())
     if want != have:
-        raise MigrationMismatch(f"{spec.name}: old table has {tuple(want)}, the copy has {tuple(have)}")
+        raise MigrationMismatch(f"{spec.name}: old table has {want}, the copy has {have}")
     target.publish(staged, (), "migrate", now)
     return spark.createDataFrame(
-        [(spec.name, want.row_count, want.checksum, len(days))],
-        "table_name STRING, row_count BIGINT, checksum BIGINT, days INT",
+        [(spec.name, *want, len(target.days()))], "table_name STRING, row_count BIGINT, checksum BIGINT, days INT"
     )
 
 

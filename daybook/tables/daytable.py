@@ -219,14 +219,21 @@ class DayTable:
 
     # ---- write -----------------------------------------------------------------------------------
 
-    def stage(self, rows: DataFrame, days: Iterable[dt.date], rebalance: bool = True) -> Staged:
-        """Write rows of the given days without making them visible.
+    def unusable(self) -> Column:
+        """Rows that cannot be stored: partition values become directory names, where null and '' cannot be told apart."""
+        found = F.lit(False)
+        for c in self.spec.partition_columns:
+            found = found | F.col(c).isNull() | (F.col(c).cast("string") == "")
+        return found
+
+    def stage(self, rows: DataFrame, days: Iterable[dt.date] | None, rebalance: bool = True) -> Staged:
+        """Write rows of the given days, or of whatever days they have, without making them visible.
 
         With ``rebalance`` the rows are laid out by partition with even file sizes: adaptive execution
         splits a hot day or city over several tasks and merges small ones. Without it the input's own
         file layout is kept and nothing is shuffled.
         """
-        days = frozenset(days)
+        days = None if days is None else frozenset(days)
         spec = self.spec
         token = f"{uuid.uuid4().hex[:16]}"
         parts = [F.col(c) for c in spec.partition_columns]
@@ -234,17 +241,15 @@ class DayTable:
         if rebalance:
             laid_out = laid_out.hint("rebalance", *parts)
         laid_out = laid_out.sortWithinPartitions(*spec.partition_columns, spec.primary_key)
-        # Partition values become directory names, where null and '' cannot be told apart.
-        unusable = F.lit(False)
-        for part in parts:
-            unusable = unusable | part.isNull() | (part.cast("string") == "")
         seen = Observation(f"stage-{token}")
-        outside = ~parts[0].between(min(days), max(days)) if days else F.lit(True)
+        outside = F.lit(days is not None)
+        if days:
+            outside = ~parts[0].between(min(days), max(days))
         laid_out = laid_out.observe(
             seen,
             F.count(F.lit(1)).alias("rows"),
             key_sum(F.col(spec.primary_key)).alias("checksum"),
-            F.count_if(unusable).alias("unusable"),
+            F.count_if(self.unusable()).alias("unusable"),
             F.count_if(outside).alias("outside"),
         )
         target = f"{self.data_root}/commit={token}"
@@ -255,7 +260,7 @@ class DayTable:
         if found["unusable"]:
             raise BadBatch(f"{spec.name}: {found['unusable']} row(s) with an empty {' or '.join(spec.partition_columns)}")
         written = frozenset(map(dt.date.fromisoformat, names))
-        if found["outside"] or not written <= days:
+        if found["outside"] or not (days is None or written <= days):
             raise BadBatch(f"{spec.name}: rows outside the days being written")
         return Staged(token, written, found["rows"], found["checksum"])
 

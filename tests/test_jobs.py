@@ -4,10 +4,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.operators import evidence
+from daybook.operators import evidence, partitions
 from daybook.operators.cities import CITIES_SCHEMA
 from daybook.plans import erase as erase_plan
-from daybook.plans import hop
+from daybook.plans import hop, retention
 from daybook.plans.dedup import MergeLatest
 from daybook.plans.erase import Target, erase
 from daybook.plans.hop import RunFailed
@@ -21,7 +21,7 @@ from daybook.plans.jobs import (
     migrate,
     trim,
 )
-from daybook.schemas import REWARD_LEDGER, TRIP_EVENTS, TRIP_EVENTS_CURATED
+from daybook.schemas import REWARD_LEDGER, REWARD_LEDGER_MONTHLY, TRIP_EVENTS, TRIP_EVENTS_CURATED
 from daybook.sources.events import FrameSource
 from daybook.tables.columns import ColumnConflict, accept, added_columns, evolved
 from daybook.tables.daytable import DayTable, SnapshotNotFound
@@ -684,3 +684,157 @@ def test_curate_counts_raw_by_itself(spark, lake_root, raw, curated, source, mon
         report = curate_days(spark, raw, curated, lake_root, days, now=NOW)
         assert [(r.event_date, r.success) for r in report.results] == [(d, d != D15) for d in days]
         assert "mismatch" in report.results[0].error
+
+
+# ---- retention, merging, migration and bad days: what they read and write --------------------------------
+
+
+def _fares(spark, *rows):
+    """(key, city, day) as trips."""
+    return trips(spark, [(k, "v", c, d, 1.0, 1.0, TRIPS[0][6]) for k, c, d in rows])
+
+
+TODAY = dt.date(2026, 3, 1)
+RULES = (
+    retention.Rule("trip", days=30), retention.Rule("trip", "IN-KA", days=45), retention.Rule("trip", "EU"),
+    retention.Rule("camera", days=1),
+)
+
+
+def test_retention_drops_days_and_rewrites_mixed_ones(spark, raw):
+    raw.create(NOW)
+    days = [dt.date(2026, 1, 1), D15, D16, dt.date(2026, 1, 30), dt.date(2026, 2, 20)]
+    rows = [(10 * i + j, c, d) for i, d in enumerate(days) for j, c in enumerate(("BLR", "MUM", "BUD", "XXX"))]
+    raw.replace_days(_fares(spark, *rows), days, now=NOW)
+    cities = spark.createDataFrame([("BLR", "IN-KA", None, None), ("MUM", "IN", None, None)], CITIES_SCHEMA)
+    # General cutoff 30 January, that of IN-KA 15 January.
+    no_eu = tuple(r for r in RULES if r.jurisdiction != "EU")
+    files = set(raw.read().inputFiles())
+    done = retention.apply_retention(spark, raw, "trip", TODAY, no_eu, cities, NOW)
+    assert [tuple(r) for r in done.collect()] == [(days[0], "dropped", None), (D15, "rewritten", 3), (D16, "rewritten", 3)]
+    assert ids(raw.read()) == [10, 20, *range(30, 34), *range(40, 44)]
+    assert set(raw.read().inputFiles()) < files  # files are by city, so none had to be rewritten
+    assert days[0] not in raw.days() and raw.read(version=2).count() == 20
+    again = retention.apply_retention(spark, raw, "trip", TODAY, no_eu, cities, NOW)
+    assert again.count() == 0
+
+
+def test_retention_with_a_jurisdiction_that_keeps_everything(spark, raw):
+    raw.create(NOW)
+    days = [dt.date(2026, 1, 1), dt.date(2026, 2, 20)]
+    raw.replace_days(_fares(spark, (1, "BLR", days[0]), (2, "BUD", days[0]), (3, "XXX", days[0]), (4, "XXX", days[1])), days, now=NOW)
+    with pytest.raises(ValueError, match="cities"):
+        retention.apply_retention(spark, raw, "trip", TODAY, RULES, now=NOW)
+    cities = spark.createDataFrame([("BLR", "IN-KA", None, None), ("BUD", "EU", None, None)], CITIES_SCHEMA)
+    done = retention.apply_retention(spark, raw, "trip", TODAY, RULES, cities, NOW)
+    assert [tuple(r) for r in done.collect()] == [(days[0], "rewritten", 2)]
+    assert ids(raw.read()) == [2, 4]
+    assert retention.apply_retention(spark, raw, "account", TODAY, retention.POLICY).count() == 0  # kept for ever
+
+
+def test_retention_uses_the_stored_jurisdiction(spark, lake_root, raw):
+    cities = spark.createDataFrame([("BLR", "IN-KA", None, None)], CITIES_SCHEMA)
+    day = dt.date(2026, 1, 20)
+    source = FrameSource(_fares(spark, (1, "BLR", day), (2, "MUM", day)), TRIP_EVENTS)
+    export_days(spark, source, raw, lake_root, [day], now=NOW, cities=cities).raise_if_failed()
+    retention.apply_retention(spark, raw, "trip", TODAY, RULES, now=NOW)
+    assert [(r.trip_id, r.jurisdiction) for r in evolved(raw).read().collect()] == [(1, "IN-KA")]
+
+
+def test_retention_of_months_keeps_rows_of_a_mixed_month(spark, lake_root):
+    ledger = DayTable(spark, f"{lake_root}/raw/reward_ledger", REWARD_LEDGER_MONTHLY).create(NOW)
+    days = [dt.date(2018, 12, 31), dt.date(2019, 2, 27), dt.date(2019, 2, 28), dt.date(2019, 3, 1), dt.date(2019, 3, 2)]
+    rows = [(i, 1, "BLR", "reward", None, d, None, d.replace(day=1)) for i, d in enumerate(days)]
+    entries = spark.createDataFrame(rows, ledger.spec.schema)
+    ledger.replace_days(entries, {d.replace(day=1) for d in days}, now=NOW)
+    done = retention.apply_retention(spark, ledger, "ledger", TODAY, now=NOW)  # 84 months
+    assert [tuple(r) for r in done.collect()] == [
+        (dt.date(2018, 12, 1), "dropped", None), (dt.date(2019, 2, 1), "dropped", None),
+    ]
+    done = retention.apply_retention(spark, ledger, "ledger", TODAY + dt.timedelta(days=1), now=NOW)
+    assert [tuple(r) for r in done.collect()] == [(dt.date(2019, 3, 1), "rewritten", 1)]
+    assert [r.ledger_id for r in ledger.read().collect()] == [4]
+
+
+def test_policies_name_a_jurisdiction_once():
+    with pytest.raises(ValueError, match="two rules"):
+        retention.cutoffs((*RULES, retention.Rule("trip", "EU", days=1)), "trip", TODAY)
+    assert retention.cutoffs(RULES, "nothing", TODAY).all == [None]
+
+
+def test_merging_reads_small_files_only(spark, raw):
+    raw.create(NOW)
+    big = spark.range(60_000).select(
+        (F.col("id") + 1000).alias("trip_id"), F.sha2(F.col("id").cast("string"), 256).alias("vehicle_id_hash"),
+        F.lit("BLR").alias("city_code"), F.lit(D15).alias("event_date"), F.rand(1).alias("distance_km"),
+        F.rand(2).alias("fare_amount"), F.lit(dt.datetime(2026, 1, 15)).cast("timestamp_ntz").alias("created_at"),
+    ).coalesce(1)
+    raw.append(big, [D15], now=NOW)
+    large = set(raw.read().inputFiles())
+    for k in range(5):
+        raw.append(_fares(spark, (k, "BLR", D15)), [D15], now=NOW)
+    raw.append(_fares(spark, (90, "MUM", D15)), [D15], now=NOW)
+    alone = {f for f in raw.read().inputFiles() if "MUM" in f}
+    commit = merge_small_files(raw, target_bytes=2 * 1024**2, now=NOW)
+    assert commit.rows == 5  # what was written again
+    after = set(raw.read().inputFiles())
+    assert large <= after and alone <= after and len(after) == len(large) + 2
+    assert raw.read().count() == 60_006
+    assert merge_small_files(raw, target_bytes=2 * 1024**2, now=NOW) is None
+
+
+def test_migration_reads_the_old_table_once_and_names_repeated_keys(spark, raw, lake_root):
+    trips(spark).write.parquet(f"{lake_root}/old")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    schema = TRIP_EVENTS.schema
+    old = spark.read.schema(schema).parquet(f"{lake_root}/old").mapInArrow(counted, schema)
+    assert migrate(spark, old, raw, now=NOW).first().row_count == len(TRIPS)
+    assert reads.value == len(TRIPS)
+    other = DayTable(spark, f"{lake_root}/raw/other", TRIP_EVENTS)
+    with pytest.raises(MigrationMismatch, match="keys repeat, the first are 2, 5"):
+        migrate(spark, trips(spark, [*TRIPS, TRIPS[4], TRIPS[1]]), other, now=NOW)
+    assert other.snapshot_ids() == [1]
+
+
+def test_bad_days_cost_one_extra_scan(spark, lake_root, raw, monkeypatch):
+    days = [dt.date(2025, 1, 1) + dt.timedelta(days=i) for i in range(365)]
+    rows = _fares(spark, (1, "BLR", days[3]), (2, "", days[50]), (3, None, days[51]), (4, "BLR", days[360]))
+    copies = []
+    copy = hop._copy_chunk
+    monkeypatch.setattr(hop, "_copy_chunk", lambda *a: (copies.append(len(a[4])), copy(*a))[1])
+    report = backfill(spark, FrameSource(rows, TRIP_EVENTS), raw, lake_root, days, now=NOW)
+    assert copies == [365, 363]
+    assert [(r.event_date, "1 row(s) with an empty" in r.error) for r in report.failed] == [(days[50], True), (days[51], True)]
+    assert len(report.results) == 365 and ids(raw.read()) == [1, 4]
+
+
+def test_a_source_that_is_down_stops_at_once(spark, lake_root, raw, monkeypatch):
+    asked = []
+
+    class Down:
+        keep_added = False
+
+        def rows(self, first, last):
+            asked.append((first, last))
+            raise ConnectionError("no route to the source")
+
+        totals = None
+
+    days = [D15 + dt.timedelta(days=i) for i in range(20)]
+    report = export_days(spark, Down(), raw, lake_root, days, now=NOW)
+    assert len(asked) == 2 and len(report.failed) == 20
+    assert {r.error for r in report.failed} == {"no route to the source"}
+
+
+def test_partitions_come_from_the_listing(spark, raw):
+    raw.create(NOW).replace_days(_fares(spark, (1, "BLR", D15), (2, "BLR", D16)), [D15, D16], now=NOW)
+    raw.drop_days([D16], now=NOW)
+    for file in raw.read().inputFiles():
+        Storage(spark).write_text(file, "no Parquet at all")
+    assert [r.event_date for r in partitions.stored_days(raw).collect()] == [D15]
