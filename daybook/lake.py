@@ -16,6 +16,7 @@ TABLES: dict[str, TableSpec] = {
         schemas.ANPR_CAMERA_EVENTS,
         schemas.REWARD_LEDGER,
         schemas.ACCOUNT_SNAPSHOTS,
+        schemas.REFERENCE_FEED_CACHE,
     )
 }
 

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.lake import day_table
 from daybook.operators import evidence, partitions
 from daybook.operators.cities import CITIES_SCHEMA
 from daybook.plans import erase as erase_plan
@@ -514,6 +515,28 @@ def test_command_line(spark, lake_root):
         run(["export", "--lake", lake, "--parquet", "x", "--start", "2026-01-15"], spark)
 
 
+def test_command_line_of_the_governed_lake(spark, lake_root):
+    from daybook.__main__ import run
+
+    lake, source, cities = f"{lake_root}/lake", f"{lake_root}/source", f"{lake_root}/cities"
+    trips(spark).withColumn("surge", F.lit(2.0)).write.parquet(source)
+    spark.createDataFrame(CITIES, CITIES_SCHEMA).write.parquet(cities)
+    run(["export", "--lake", lake, "--parquet", source, "--start", "2026-01-15", "--end", "2026-01-16", "--keep-added"], spark)
+    run(["curate", "--lake", lake, "--start", "2026-01-15", "--end", "2026-01-16", "--dedup", "--cities", cities], spark)
+    curated = evolved(day_table(spark, lake, "curated", "trip_events_curated"))
+    assert curated.spec.columns == [*TRIP_EVENTS.columns, "jurisdiction", "surge"]
+    assert ids(curated.read().filter("surge = 2.0")) == [1, 2, 3, 4, 5, 6]
+    done = run(["retain", "--lake", lake, "--table", "trip_events", "--class", "trip", "--today", "2026-04-16", "--cities", cities,
+                "--rule", "IN-KA=1"], spark)
+    assert [r.event_date for r in done.collect()][0] == D15
+    requests = _request(spark, ("hash_veh_aaa111", "REQ-1", ""), ("hash_veh_bbb222", "REQ-2", ""))
+    requests.write.parquet(f"{lake_root}/requests")
+    erased = run(["erase", "--lake", lake, "--requests", f"{lake_root}/requests"], spark)
+    assert erased.count() == 4 and ids(curated.read()) == [3, 5, 6]
+    with pytest.raises(ValueError, match="both required"):
+        run(["erase", "--lake", lake, "--identifier", "hash_veh_aaa111"], spark)
+
+
 # ---- columns, cities and one row per key ----------------------------------------------------------------
 
 TRIP = "trip_id long, vehicle_id_hash string, city_code string, event_date date, distance_km double, fare_amount double, created_at timestamp_ntz"
