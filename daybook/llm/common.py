@@ -16,11 +16,18 @@ from daybook.tables.storage import scratch_folder
 
 ROW_KEY = "__row_key"
 
+# Bytes of a batch on its way to a Python worker. Spark's own limit of 64 MB is held twice on each side, by every task
+# of an executor; results do not depend on it. A session that sets a limit of its own keeps it.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_BATCH, BATCH = "67108864b", "8m"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application."""
+    """Give the Python workers this package, once per application, and batches of a moderate size."""
+    if spark.conf.get(BATCH_SETTING) == SPARKS_BATCH:
+        spark.conf.set(BATCH_SETTING, BATCH)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
