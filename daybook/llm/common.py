@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from daybook.tables.storage import scratch_folder
 
@@ -68,16 +69,43 @@ def labelled_sample(rows: DataFrame, labels: DataFrame, limit: int) -> pa.Table:
     ``labels`` has doc_id and label; rows with a null in either are left out, repeated labels count once. Of several
     rows with one id the one whose text has the smallest hash is taken, in the map tasks already.
     """
-    spark = rows.sparkSession
-    known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).toArrow()
-    ids = spark.createDataFrame(picked) if picked.num_rows else known.limit(0)
+    return _with_texts(rows, _labels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+
+
+def sample_by_label(rows: DataFrame, labels: DataFrame, limit: int) -> tuple[pa.Table, dict]:
+    """The same with at most ``limit`` rows of each label, and how many labelled ids there are of each.
+
+    Labels are few. Ids are thinned by their hash to about twice the limit before a label's are ordered.
+    """
+    known = _labels(labels)
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    if not sizes.num_rows:
+        return _with_texts(rows, known.limit(0)), {}
+    counted = rows.sparkSession.createDataFrame(sizes)
+    steps = 1 << 30
+    kept_step = F.ceil(F.lit(2.0 * limit * steps) / F.col("n"))
+    thinned = known.join(F.broadcast(counted), "label").where(
+        (F.col("n") <= 4 * limit) | (F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < kept_step)
+    )
+    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
+    picked = thinned.withColumn("nth", nth).where(F.col("nth") <= limit).select("doc_id", "label")
+    return _with_texts(rows, picked), dict(zip(sizes["label"].to_pylist(), sizes["n"].to_pylist()))
+
+
+def _labels(labels: DataFrame) -> DataFrame:
+    return labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
+
+
+def _with_texts(rows: DataFrame, picked: DataFrame) -> pa.Table:
+    """The picked ids (a bounded number) with one text each."""
+    found = picked.toArrow()
+    ids = rows.sparkSession.createDataFrame(found) if found.num_rows else picked.limit(0)
     texts = rows.select("doc_id", "text").where("text IS NOT NULL")
-    # ``limit`` rows of two columns: the bound of this broadcast.
-    found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
+    # Two columns of a bounded number of rows: the bound of this broadcast.
+    joined = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
         F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("row")
     )
-    return found.select("doc_id", "row.text", "row.label").toArrow().sort_by([("doc_id", "ascending")])
+    return joined.select("doc_id", "row.text", "row.label").toArrow().sort_by([("doc_id", "ascending")])
 
 
 def slices(values: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:

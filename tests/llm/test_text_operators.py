@@ -114,28 +114,61 @@ def test_language_edges(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, nothing, PIECES).collect()} == {"und"}
 
 
-def test_forward_sums_all_segmentations():
+def test_forward_sums_all_segmentations(monkeypatch):
+    """Against a plain sum over all pieces of any length; words run over the ends of segments and characters."""
+    import pyarrow as pa
+
+    from daybook.llm.text import Texts
+
+    monkeypatch.setattr(langid, "SEGMENT", 64)
     known = langid.vocabulary(PIECES)
+    assert known.longest > 10
     rng = np.random.default_rng(5)
-    p = rng.random(len(known) + 1) / len(known)
+    p = rng.random((len(known) + 1, 2)) / len(known)
     p[-1] = 0
-    model = langid.Languages(["x"], np.zeros(1), (p * known.scales)[:, None])
+    p[:, 1] /= 50  # far less likely, yet not lost
+    model = langid.Languages(["x", "y"], np.zeros(2), p * known.scales[:, None])
     number = {piece: i for i, piece in enumerate(known.names)}
 
-    def total(word):
+    def total(word, column):
         ways = [1.0] + [0.0] * len(word)
         for j in range(1, len(word) + 1):
-            ways[j] = sum(ways[i] * p[number[word[i:j]]] for i in range(max(0, j - langid.LONGEST), j) if word[i:j] in number)
-        return ways[-1]
+            ways[j] = sum(ways[i] * p[number[word[i:j]], column] for i in range(j) if word[i:j] in number)
+        return math.log(ways[-1])
 
-    import pyarrow as pa
+    def scaled_total(word, column):
+        """The same with the sums of a window brought back into range."""
+        window, logs = {0: 1.0}, 0.0
+        for j in range(1, len(word) + 1):
+            window[j] = sum(w * p[number[word[i:j]], column] for i, w in window.items() if word[i:j] in number)
+            window = {i: w for i, w in window.items() if i > j - known.longest}
+            most = max(window.values())
+            window = {i: w / most for i, w in window.items()}
+            logs += math.log(most)
+        return math.log(window[len(word)]) + logs
+
+    words = ["the", "straße", "x", "internationally", "日本", "日本語" * 30, "understanding" * 9, "z" * 47, "z" * 48, "z" * 49, "é" * 400, "responsibilities" * 20]
+    batch = Texts.of(pa.array([" ".join(words)]), 0, 1)
+    got = model.words(known, batch, *batch.spans)
+    for column in (0, 1):
+        assert np.allclose(got[:, column], [scaled_total(b" " + w.encode(), column) for w in words], rtol=1e-9)
+        assert np.allclose(got[:5, column], [total(b" " + w.encode(), column) for w in words[:5]])
 
-    from daybook.llm.text import Texts
 
-    words = ["the", "straße", "x", "internationally", "日本"]
-    batch = Texts.of(pa.array([" ".join(words)]), 0, 1)
-    got = model.words(known, batch, *batch.spans)[:, 0]
-    assert np.allclose(got, [math.log(total(b" " + w.encode())) for w in words])
+def test_rare_languages_and_scripts_are_learned(spark):
+    rng = np.random.default_rng(1)
+    letters = {"en": "etaoinshr", "ja": "あいうえおかきく", "el": "αβγδεζηθ"}
+
+    def text(lang):
+        return " ".join("".join(rng.choice(list(letters[lang]), rng.integers(2, 9))) for _ in range(12))
+
+    langs = ["en"] * 4000 + ["ja"] * 12 + ["el"] * 12
+    rows = spark.createDataFrame([(i, text(x), x) for i, x in enumerate(langs)], "doc_id long, text string, lang string")
+    model = langid.fit(rows, PIECES, limit=50)
+    assert model.names == ["el", "en", "ja"]
+    assert model.prior[1] > math.log(0.98)  # from all rows, not from the sample
+    found = langid.identify(rows, model, PIECES).join(rows.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r["lang"] == r["lang_pred"] for r in found)
 
 
 def test_language_accuracy(spark):
