@@ -170,7 +170,9 @@ def fit(findings: DataFrame, words: DataFrame) -> RandomForestClassificationMode
     spark = findings.sparkSession
     examples = _generated(spark, GENERATED).unionByName(_weakly_labelled(findings, FOUND))
     ready = saved(features(examples, words).select("label", *FEATURES), "examples")
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7).fit(_vectors(ready))
+    # The fitted model's training summary refers to the session, which tasks cannot take along once anything in the
+    # session has used an ``Observation``; a copy has the trees alone.
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7).fit(_vectors(ready)).copy()
 
 
 def scan(documents: DataFrame, words: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -383,3 +383,16 @@ def test_many_open_inline_elements_and_bare_body():
     assert kinds["foot"] == 1
     bare = Page("<body>Plain text<br>more</body>")
     assert bare.text([-1.0] * len(bare.parent)) == "Plain text more"
+
+
+def test_scan_works_after_an_observation(spark):
+    """The day tables observe their writes; the session they leave behind must still be able to scan."""
+    from pyspark.sql import Observation
+
+    seen = Observation("before")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 5
+    rows = documents(spark, [(1, 'token = "9f86d081884c7d659a2feaa0c55ad015" and')])
+    words = secrets.dictionary(spark, public_tokenizers.path("word_bpe_49k.json"))
+    assert [r.is_secret for r in secrets.scan(rows, words).collect()] == [True]
+    assert not secrets.fit(secrets.candidates(rows), words).hasSummary
