@@ -19,7 +19,7 @@ from daybook.operators.changes import latest_per_key
 from daybook.tables.daytable import BadBatch, Commit, DayTable, Live
 from daybook.tables.keyindex import KeyIndex
 from daybook.tables.keys import matching, without
-from daybook.tables.storage import kept, scratch_folder
+from daybook.tables.storage import Storage, kept, scratch_folder
 
 
 class MergeLatest:
@@ -51,12 +51,18 @@ class MergeLatest:
 
     def write(self, rows: DataFrame, days: Sequence[dt.date]) -> Commit:
         """The given days hold what of ``rows`` is newest; older rows of the same keys go from all other days."""
-        table, key = self.table, self.key
         self._batch, self._outdated = rows, None
-        work = scratch_folder(table.spark, "dedup")
-        incoming = self._latest(rows)
+        work = scratch_folder(self.table.spark, "dedup")
+        try:
+            # Written once, as several steps read it, and so that a lost executor costs a read and not the reduction.
+            return self._merge(kept(self._latest(rows), f"{work}/incoming"), days, work)
+        finally:
+            Storage(self.table.spark).delete(f"{work}/incoming")
+
+    def _merge(self, incoming: DataFrame, days: Sequence[dt.date], work: str) -> Commit:
+        table, key = self.table, self.key
         self.index.refresh()
-        keys = kept(incoming.select(key), f"{work}/keys")
+        keys = incoming.select(key)
         parent = table.snapshot()
         others = [e for e in parent.live if e.day not in set(days)]
         rivals = self._rivals(keys, days, f"{work}/rivals") if others else None

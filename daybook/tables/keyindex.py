@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,12 +21,6 @@ from daybook.tables.daytable import DayTable, Live, Snapshot
 SCHEMA = "commit STRING, day DATE, file STRING, bucket BIGINT, bits BINARY, rows BIGINT"
 
 
-def _bit_is_set(bits: Column, position: Column) -> Column:
-    """Whether a bitmap, as Spark's bitmap functions build it, has a position."""
-    byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
-    return F.getbit(byte, (position % 8).cast("int")) == 1
-
-
 class KeyIndex:
     def __init__(self, table: DayTable):
         kind = table.spec.schema[table.spec.primary_key].dataType
@@ -88,11 +82,14 @@ class KeyIndex:
     def holders(self, keys: DataFrame) -> DataFrame:
         """``commit, day, file`` of the stored files that hold one of ``keys`` (a frame with the table's key)."""
         key = F.col(self.table.spec.primary_key).cast("bigint")
-        wanted = keys.filter(key.isNotNull()).select(
-            F.bitmap_bucket_number(key).alias("bucket"), F.bitmap_bit_position(key).alias("position")
+        # Bitmaps meet bitmaps: a row per file and bucket, however many keys both have.
+        wanted = keys.filter(key.isNotNull()).groupBy(F.bitmap_bucket_number(key).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("wanted")
         )
         found = self.rows().select("commit", "day", "file", "bucket", "bits").join(wanted, "bucket")
-        return found.filter(_bit_is_set(F.col("bits"), F.col("position"))).select("commit", "day", "file").distinct()
+        both = found.select("commit", "day", "file", "bucket", F.explode(F.array("bits", "wanted")).alias("bits"))
+        shared = both.groupBy("commit", "day", "file", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("keys"))
+        return shared.filter("keys > 0").select("commit", "day", "file").distinct()
 
     def prune(self) -> int:
         """Remove builds of which no retained snapshot needs a commit; returns how many."""
