@@ -7,11 +7,16 @@ from html import unescape
 
 import numpy as np
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|title|noscript|template|svg|iframe|textarea|select|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.S | re.I,
+# A tag without "<" or ">" in its attributes, which nearly all are, or a lone "<". Nothing is read twice: no part gives
+# back what it took, and none goes beyond the next "<".
+MARK = re.compile(
+    r"<(?:(/?)([a-zA-Z][^\s/<>]*+)([^<>\"']*+(?:\"[^\"<>]*+\"[^<>\"']*+|'[^'<>]*+'[^<>\"']*+)*+)>)?"
 )
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*+)")
+SPECIAL = re.compile("[>\"']")
+# Elements whose inside is no text of the page.
+RAW = frozenset("script style title noscript template svg iframe textarea select object".split())
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label|itemprop|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 GOLD = re.compile(r"data-y=\"([01])\"")
 WORD = re.compile(r"[a-z]+")
@@ -53,6 +58,86 @@ OUTSIDE = (6, 7, 8, 9, 10)  # kinds that are about the page rather than its arti
 N_FEATURES = len(KINDS) + 2 * len(TOKENS) + 20
 
 
+class Tags:
+    """Tags, comments and raw elements of a page in page order, in time linear in its length, however broken it is.
+
+    Iteration gives (start, end, closing, name, attributes); the name is None for what is skipped as a whole. A tag ends at
+    its first ">" outside quotes; where there is none, or a quote stays open, its "<" is text.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self._ends: dict[int, int] = {}  # by place of a quote or ">" outside quotes: where a tag that gets there ends
+        self._special = self._close = (0, 0)  # the next of them from a place on, as (place, found)
+
+    def __iter__(self):
+        html, at = self.html, 0
+        while True:
+            for m in MARK.finditer(html, at):
+                name = m[2]
+                start, end = m.span()
+                if name is None:
+                    found = self._slow(start)
+                    if found is None:
+                        continue
+                    end, closing, name, attributes = found
+                else:
+                    closing, attributes = m[1], m[3]
+                    name = name.lower()
+                    if closing or name not in RAW:
+                        yield start, end, closing, name, attributes
+                        continue
+                if name in RAW and not closing:
+                    last = RAW_END[name].search(html, end)
+                    end, name = last.end() if last else len(html), None
+                yield start, end, closing, name, attributes
+                at = end
+                break
+            else:
+                return
+
+    def _slow(self, start: int) -> tuple[int, str, str | None, str] | None:
+        """What begins at a "<": its end and parts; None where it is text."""
+        html = self.html
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            return (len(html) if end < 0 else end + 3), "", None, ""
+        if html.startswith(("<!", "<?"), start):
+            self._close = self._next(self._close, start, lambda at: html.find(">", at))
+            end = self._close[1]
+            return None if end < 0 else (end + 1, "", None, "")
+        m = NAME.match(html, start)
+        if not m:
+            return None
+        self._special = self._next(self._special, m.end(), self._find_special)
+        end = self._end(self._special[1])
+        return None if end < 0 else (end, m[1], m[2].lower(), html[m.end() : end - 1])
+
+    @staticmethod
+    def _next(known: tuple[int, int], at: int, find) -> tuple[int, int]:
+        """What was found before still is the next one if ``at`` lies before it."""
+        since, found = known
+        return known if since < at and (found < 0 or at <= found) else (at, find(at))
+
+    def _find_special(self, at: int) -> int:
+        m = SPECIAL.search(self.html, at)
+        return m.start() if m else -1
+
+    def _end(self, at: int) -> int:
+        """Behind the first ">" outside quotes, from a quote or ">" on; -1 where none comes."""
+        html, ends, path = self.html, self._ends, []
+        while at >= 0 and at not in ends:
+            path.append(at)
+            if html[at] == ">":
+                ends[at] = at + 1
+                break
+            closed = html.find(html[at], at + 1)
+            at = self._find_special(closed + 1) if closed >= 0 else -1
+        end = ends[at] if at >= 0 else -1
+        ends.update(dict.fromkeys(path, end))
+        return end
+
+
 class Page:
     """Block elements in page order: ``parent`` of each, and its features; ``leaves`` are (element, text) in page order."""
 
@@ -85,6 +170,7 @@ class Page:
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int]] = [("html", 0)]  # open elements; inline ones carry their block's number
         places: dict[str, list[int]] = {}  # where in the stack each tag is open
+        scopes = [0]  # where in the stack elements are open that shield those outside them
         pieces: list[str] = []
         in_link = 0
         at = 0
@@ -101,6 +187,8 @@ class Page:
 
         def open_(tag: str, node: int) -> None:
             places.setdefault(tag, []).append(len(stack))
+            if tag in SCOPES:
+                scopes.append(len(stack))
             stack.append((tag, node))
 
         def close(depth: int) -> int:
@@ -108,22 +196,22 @@ class Page:
             while len(stack) > depth:
                 tag, _ = stack.pop()
                 places[tag].pop()
+                if tag in SCOPES:
+                    scopes.pop()
                 closed += tag == "a"
             return closed
 
-        for m in TAG.finditer(html):
-            if m.start() > at:
-                text = html[at : m.start()]
+        for start, end, closing, tag, attributes in Tags(html):
+            if start > at:
+                text = html[at:start]
                 pieces.append(text)
                 if in_link:
                     self.links[stack[-1][1]] += len(text)
-            at = m.end()
-            tag = m[3]
+            at = end
             if tag is None:
                 continue
-            tag = tag.lower()
             own = stack[-1][1]
-            if m[2]:
+            if closing:
                 if places.get(tag):
                     if tag in BLOCKS:
                         flush()
@@ -145,17 +233,15 @@ class Page:
                 continue
             flush()
             # A block closes an open paragraph; an item or cell closes its open predecessor.
-            for i in range(len(stack) - 1, 0, -1):
-                name = stack[i][0]
-                if name == "p" or (name == tag and tag in CLOSED_BY_SAME):
-                    in_link -= close(i)
-                    break
-                if name in SCOPES:
-                    break
-            open_(tag, self._open(tag, m[4], stack[-1][1], m.start()))
+            opened = max((places[name][-1] for name in {"p", tag if tag in CLOSED_BY_SAME else "p"} if places.get(name)), default=0)
+            if opened and opened >= scopes[-1]:
+                in_link -= close(opened)
+            open_(tag, self._open(tag, attributes, stack[-1][1], start))
         if at < len(html):
             rest = html[at:]
-            pieces.append(rest if "<" not in rest else rest[: rest.index("<")] if TAG.match(rest[rest.index("<") :] + ">") else rest)
+            cut = rest.find("<")
+            # A tag that the page's end cuts off is no text.
+            pieces.append(rest[:cut] if cut >= 0 and next(iter(Tags(rest[cut:] + ">")), (1,))[0] == 0 else rest)
         flush()
         self.length = max(1, len(html))
 
