@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import brown, cnn, langid, packing, rules
@@ -209,6 +210,70 @@ def test_class_model_far_words_and_no_training(spark, monkeypatch):
     assert brown.score(none, counts, brown.fit(docs, counts)).count() == 0
 
 
+def word_hash(word):
+    return int(brown.Texts.of(pa.array([lower(word)]), 0, 1).word_hashes.view(np.int64)[0])
+
+
+def test_rare_words_have_classes_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(brown, "HEAD", 30)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"{'ab'[k % 2]}{rng.integers(15)}" for k in range(20))) for i in range(300)]
+    # Two words of equal ending and count, one always in the place of an a, the other in that of a b.
+    rows += [(400 + i, f"a{i} b{i} ouzz b{i + 1} a3") for i in range(6)] + [(500 + i, f"b{i} a{i} inzz a{i + 1} b3") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = brown.saved(brown.word_counts(docs), "t")
+    model = brown.fit(docs, counts)
+    asked = spark.createDataFrame([(1, "a1 b1 ouzz b2"), (2, "a1 b1 inzz b2"), (3, "b1 a1 inzz a2"), (4, "b1 a1 ouzz a2")], docs.schema)
+    found = {r["doc_id"]: r["score"] for r in brown.score(asked, counts, model).collect()}
+    assert found[1] > found[2] + 0.5 and found[3] > found[4] + 0.5  # equal before, when both had their ending's class
+
+
+def test_classes_equal_a_plain_model(spark, monkeypatch):
+    monkeypatch.setattr(brown, "HEAD", 40)
+    docs = documents(spark)
+    tokens = [[lower(w) for w in WORD.findall(t or "")] for _, t in texts()]
+    counts = brown.saved(brown.word_counts(docs), "t")
+    lexicon = brown.fit(docs, counts).lexicon
+    units, kinds = lexicon.units, brown.CLASSES
+    vocabulary = {w: (word_hash(w), (w.encode()[-2] if len(w.encode()) > 1 else 0) * 256 + w.encode()[-1]) for own in tokens for w in own}
+    unit = {w: int(units.find(np.array([h]), np.array([e]))[0]) for w, (h, e) in vocabulary.items()}
+    first = {w: int(lexicon.class_of[u]) for w, u in unit.items()}
+    # Moves: every word that is no unit, by all of its own pairs.
+    rng = np.random.default_rng(1)
+    transition, spread = -rng.random((kinds, kinds)), rng.random(kinds)
+    gains = {w: np.zeros(kinds) for w, u in unit.items() if u >= len(units.words)}
+    for own in tokens:
+        for k, w in enumerate(own):
+            if w not in gains:
+                continue
+            before, after = own[k - 1] if k else None, own[k + 1] if k + 1 < len(own) else None
+            gains[w] -= spread
+            gains[w] += transition.diagonal() if after == w else transition[:, first.get(after, 0)]
+            if before != w:
+                gains[w] += transition[first.get(before, 0)]
+    expected = {}
+    for w, gain in gains.items():
+        gain[0] = -np.inf
+        if gain.max() > gain[first[w]] + 1e-9:
+            expected[vocabulary[w][0]] = (first[w], int(gain.argmax()))
+    assert len(gains) > 100 and expected
+    for parts in (1, 7):  # a word's rows may lie on both sides of a batch's end
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50" if parts == 7 else "10000")
+        found = brown.moves(brown.contexts(docs.repartition(parts), units, lexicon.class_of), transition, spread).collect()
+        assert len(found) == len(expected) and {r["word"]: (r["own"], r["class"]) for r in found} == expected
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # Class pairs and codes: with the classes that words moved to, wherever those are looked up.
+    moved = {r["word"]: r["class"] for r in lexicon.moved.collect()}
+    final = {w: moved.get(h, first[w]) for w, (h, _) in vocabulary.items()}
+    plain = np.zeros((kinds, kinds))
+    for own in tokens:
+        classes = [0, *(final[w] for w in own), 0]
+        np.add.at(plain, (classes[:-1], classes[1:]), 1)
+    assert moved and (brown.class_pairs(brown.coded(docs, lexicon, counts)) == plain).all()
+    monkeypatch.setattr(brown, "NEAR", 40)
+    assert (brown.class_pairs(brown.coded(docs, brown.fit(docs, counts).lexicon, counts)) == plain).all()
+
+
 def test_exchange_finds_alternating_classes():
     pairs = np.zeros((9, 9))
     rng = np.random.default_rng(0)
