@@ -32,21 +32,20 @@ END_ID = 0
 GROUPS = 256  # size groups of the large pieces
 LARGE = 8  # pieces of more than capacity / LARGE tokens are large
 BUCKETS = 1024  # ranks are counted per length and bucket of ids
-MEMO = 1_000_000  # encoded chunks that a worker keeps
+STRETCH = 1 << 16  # characters that are encoded at once, or more up to the next place to cut at
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
-# A space that may not begin a word of the pre-tokenizer; all other spaces are safe places to cut at.
-_ODD_SPACE = re.compile(r" (?=\s|\Z)")
+# The pre-tokenizer always cuts in front of a space that has a visible character behind it.
 _SAFE_SPACE = re.compile(r" (?=\S)")
 
 
-class Encoder(dict):
+class Encoder:
     """Token ids of a text as bytes, little-endian, 32 bits each.
 
-    The pre-tokenizer always cuts in front of a space that has a visible character behind it, so the ids of a text
-    are the ids of its chunks in a row, and chunks repeat. The memo holds chunks without their leading space.
+    A long text is encoded stretch by stretch, so that a worker never holds all its ids as Python objects; the ids of
+    a text are the ids of its stretches in a row. Nothing is kept between texts.
     """
 
     def __init__(self, path: str):
@@ -62,15 +61,13 @@ class Encoder(dict):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
-        ids = self[chunk] = self.encode(" " + chunk)
-        return ids
-
     def ids(self, text: str) -> bytes:
-        chunks = text.split(" ") if not _ODD_SPACE.search(text) else _SAFE_SPACE.split(text)
-        return self.encode(chunks[0]) + b"".join(map(self.__getitem__, chunks[1:]))
+        out, start = [], 0
+        while cut := _SAFE_SPACE.search(text, start + STRETCH):
+            out.append(self.encode(text[start : cut.start()]))
+            start = cut.start()
+        out.append(self.encode(text[start:]))
+        return b"".join(out)
 
 
 def _same_ids_faster(path: str):

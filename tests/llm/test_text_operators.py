@@ -284,6 +284,26 @@ def test_exchange_finds_alternating_classes():
     assert len(set(own[1:5])) == 1 and len(set(own[5:])) == 1 and own[1] != own[5]
 
 
+def test_encoder_keeps_no_texts_and_cuts_long_ones(monkeypatch):
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    tokenizer, own = Tokenizer.from_file(BPE), packing.Encoder(BPE)
+    own.ids("first")
+    tracemalloc.start()
+    for k in range(20):
+        own.ids(" ".join(f"word{i}" for i in range(1000 * k, 1000 * k + 1000)))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 200_000  # 2.3 MB before, when a worker kept every chunk
+    for stretch in (1, 7, 100, 1 << 16):
+        monkeypatch.setattr(packing, "STRETCH", stretch)
+        for _, text in [*texts(), (0, "a  b   c \n d\t e  "), (0, " <|endoftext|> x  <|endoftext|>  y "), (0, "  "), (0, " x")]:
+            expected = tokenizer.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(own.ids(text or ""), "<u4").tolist() == expected
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
