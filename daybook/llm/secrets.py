@@ -143,13 +143,19 @@ def _generated(spark: SparkSession, n: int) -> DataFrame:
         (0, prose, F.concat(F.initcap(word), F.initcap(other), year), F.lit(" and")),
         (0, F.concat(prose, F.lit("order ")), F.concat(F.lit("ORD-"), number), F.lit(" and")),
     )
-    frames = [
-        spark.range(-(-n // len(kinds))).select(
-            F.lit(float(label)).alias("label"), value.alias("candidate"), F.right(before, F.lit(AROUND)).alias("before"), after.alias("after")
-        )
-        for label, before, value, after in kinds
-    ]
-    return reduce(DataFrame.unionAll, frames)
+    # One range for all kinds: a union would repeat every later step, its expressions and its generated code, per kind.
+    each = -(-n // len(kinds))
+    rows = spark.range(0, each * len(kinds), 1, spark.sparkContext.defaultParallelism * len(kinds))
+    rows = rows.select((F.col("id") / each).cast("int").alias("kind"), (F.col("id") % each).alias("id"))
+
+    def of_kind(values: list[Column]) -> Column:
+        return reduce(lambda chain, kv: chain.when(F.col("kind") == kv[0], kv[1]), enumerate(values), F)
+
+    labels, before, candidate, after = zip(*((F.lit(float(label)), b, value, a) for label, b, value, a in kinds), strict=True)
+    return rows.select(
+        of_kind(labels).alias("label"), of_kind(candidate).alias("candidate"),
+        F.right(of_kind(before), F.lit(AROUND)).alias("before"), of_kind(after).alias("after"),
+    )
 
 
 def _weakly_labelled(findings: DataFrame, limit: int) -> DataFrame:

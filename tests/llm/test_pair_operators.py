@@ -5,12 +5,14 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from daybook.llm import decontam, extract, jaccard, secrets, urls
 from daybook.llm.components import components
 from daybook.llm.dom import Page
+from daybook.llm.text import Texts, shingle_sets
 from tests.llm.samples import WORD, documents, given, labels, lower, prose, texts
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -396,3 +398,36 @@ def test_scan_works_after_an_observation(spark):
     words = secrets.dictionary(spark, public_tokenizers.path("word_bpe_49k.json"))
     assert [r.is_secret for r in secrets.scan(rows, words).collect()] == [True]
     assert not secrets.fit(secrets.candidates(rows), words).hasSummary
+
+
+def optimized(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_generated_findings_are_one_branch_of_the_plan(spark):
+    made = secrets._generated(spark, 39)
+    # A union of thirteen kinds had every feature's expressions and generated code thirteen times on the driver.
+    assert optimized(made).count("Range (") == 1
+    rows = [tuple(r) for r in made.collect()]
+    assert len(rows) == len(set(rows)) == 39 and [r[0] for r in rows] == [1.0] * 15 + [0.0] * 24
+    keys, ids, orders = rows[9:12], rows[21:24], rows[36:]
+    assert all(re.fullmatch("ghp_[A-Za-z0-9]{32,36}", r[1]) and r[3] == " and" for r in keys)
+    assert all(re.fullmatch("[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", r[1]) for r in ids)
+    assert all(re.fullmatch("ORD-[0-9]{16}", r[1]) and r[2].endswith("order ") for r in orders)
+
+
+def test_blocks_join_members_and_labels_once(spark, monkeypatch):
+    own = [shingles_of(" ".join(f"w{i}" for i in range(40))), shingles_of(" ".join(f"w{i}" for i in range(41))), shingles_of(prose(5, 40))]
+    nodes = spark.createDataFrame([(i, len(s), jaccard.sketch(s)) for i, s in enumerate(own)], "set_id long, n long, sketch binary")
+    labels = nodes.select("set_id", F.col("set_id").alias("component"))
+    members = spark.createDataFrame([(key, i) for key in (7, 8) for i in range(3)] + [(9, 0)], "key long, set_id long")
+    written, saved = defaultdict(list), jaccard.saved
+    monkeypatch.setattr(jaccard, "saved", lambda frame, label: written[label].append(optimized(frame)) or saved(frame, label))
+    found = jaccard._blocks(members, labels, nodes, 75)
+    # Before, the first pass over the buckets joined members and labels six times.
+    assert [plan.count("Join ") for plan in written["gathered"]] == [2, 2]
+    assert [(r["x"], r["y"]) for r in found.collect()] == [(0, 1)]
+
+
+def shingles_of(text):
+    return shingle_sets(Texts.of(pa.array([text]), 0, 1), 5)[0]
