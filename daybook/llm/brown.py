@@ -10,8 +10,9 @@ pairs are counted again after the moves. A text's probability is the product of
 and word emissions (add-one within the class, one unknown word included).
 
 All counts cover every training text. The units' pair counts (at most ``(HEAD + ENDINGS + 2) ** 2``) are clustered on the
-driver; words' neighbours are summed by a shuffle. The ``NEAR`` most frequent words' counts and classes go to every task;
-those of all other words are joined, after summing each text's words. Words are told apart by 64-bit hashes.
+driver; words' neighbours are shuffled in one row per word and slice of texts. The ``NEAR`` most frequent words' counts
+and classes go to every task; those of all other words are joined, after summing each text's words. Classes of training
+texts are counted and those of all texts scored from the same rows. Words are told apart by 64-bit hashes.
 
 A null or empty text is its end mark alone. Without training texts all counts are 0 and the base score is that of an
 empty vocabulary. Repeated rows are scored each and, if in training, counted each. Other columns are ignored; an empty
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.common import fold, saved, ship, slices, table
@@ -38,11 +39,12 @@ ENDINGS = 400
 NEAR = 200_000
 CLASSES = 48
 SWEEPS = 5
+HELD = 1 << 20  # rows that a task sums, or passes on, at once
 END = 0x5BD1E9955BD1E995  # the end mark's place among word hashes
 
 COUNTS = "word long, ending int, n long"
 PAIRS = "pair long, n long"
-CONTEXTS = "word long, context int, n long"
+CONTEXTS = "word long, contexts binary"
 MOVED = "word long, own int, class int"
 PARTS = "row long, doc_id long, n_tokens long, known long, counts double, codes binary, word long, places binary"
 RATED = "doc_id long, n_tokens long, n_known long, logs double, transitions double, spread double"
@@ -60,12 +62,20 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Texts]
 
 def _distinct(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct word hashes, the ending of each, the number of each word among them, and how often each occurs."""
-    _, ends = texts.spans
-    starts = texts.spans[0]
-    words, first, inverse, times = np.unique(texts.word_hashes, return_index=True, return_inverse=True, return_counts=True)
+    starts, ends = texts.spans
+    words, inverse = _numbered(texts.word_hashes.view(np.int64))
+    times = np.bincount(inverse, minlength=len(words))
+    first = np.zeros(len(words), np.int64)
+    first[inverse[::-1]] = np.arange(len(inverse))[::-1]
     last = texts.data[ends[first] - 1].astype(np.int32)
     before = np.where(ends[first] - starts[first] > 1, texts.data[np.maximum(ends[first] - 2, 0)], 0).astype(np.int32)
-    return words.view(np.int64), before * 256 + last, inverse, times
+    return words, before * 256 + last, inverse, times
+
+
+def _numbered(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words, and the number of each word among them."""
+    found = pa.array(words).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy().astype(np.int64)
 
 
 def _tokens(texts: Texts, of_words: np.ndarray, of_end: int) -> np.ndarray:
@@ -80,16 +90,25 @@ def _tokens(texts: Texts, of_words: np.ndarray, of_end: int) -> np.ndarray:
 def word_counts(training: DataFrame) -> DataFrame:
     """word, ending, n: how often each token occurs."""
 
+    def summed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        words, endings, times = (np.concatenate(x) for x in zip(*held, strict=True))
+        words, inverse = _numbered(words)
+        ending, n = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64)
+        ending[inverse] = endings
+        np.add.at(n, inverse, times)
+        return pa.RecordBatch.from_arrays([pa.array(words), pa.array(ending), pa.array(n)], names=["word", "ending", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for ids, texts in _texts(batches):
             words, endings, _, times = _distinct(texts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(words, END)), pa.array(np.append(endings, -1).astype(np.int32)),
-                    pa.array(np.append(times, len(ids)).astype(np.int64)),
-                ],
-                names=["word", "ending", "n"],
-            )
+            held.append((np.append(words, END), np.append(endings, -1), np.append(times, len(ids))))
+            size += len(words) + 1
+            if size >= HELD:
+                yield summed(held)
+                held, size = [], 0
+        if held:
+            yield summed(held)
 
     counted = _rows(training).mapInArrow(count, COUNTS)
     return counted.groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("n"))
@@ -126,10 +145,15 @@ def pair_counts(training: DataFrame, units: Units) -> DataFrame:
     """pair (left unit * units + right unit) and n; a text's first token follows an end mark."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(units.size * units.size, np.int64)
         for _, texts in _texts(batches):
             sequence = units.sequence(texts)
             pairs, times = np.unique(np.concatenate([[0], sequence[:-1]]) * units.size + sequence, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(times.astype(np.int64))], names=["pair", "n"])
+            found[pairs] += times
+        pairs = np.flatnonzero(found)
+        for a in range(0, len(pairs), HELD):
+            some = pairs[a : a + HELD]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["pair", "n"])
 
     return _rows(training).mapInArrow(count, PAIRS).groupBy("pair").agg(F.sum("n").alias("n"))
 
@@ -208,6 +232,7 @@ class Model:
     spread: np.ndarray  # log10 of each class's emission denominator
     tokens: int
     types: int
+    rows: DataFrame | None = None  # of ``coded``, for all documents that ``fit`` was given
 
 
 def _estimate(between: np.ndarray, class_types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,10 +245,11 @@ def _estimate(between: np.ndarray, class_types: np.ndarray) -> tuple[np.ndarray,
 
 
 def contexts(training: DataFrame, units: Units, class_of: np.ndarray) -> DataFrame:
-    """word, context, n for every word that is no unit itself: how often which class stands next to it.
+    """word, contexts for every word that is no unit itself: how often which class stands next to it.
 
     A context is a class to the right, CLASSES more for one to the left, or 2 * CLASSES for the same word to the right
-    (which to the left is not counted again); the class of the word's unit is packed above it.
+    (which to the left is not counted again). A row has all contexts of a word in some texts, eight bytes each: the
+    context, above it the class of the word's unit, and above that how often it occurs.
     """
     kinds = 2 * CLASSES + 1
 
@@ -241,11 +267,13 @@ def contexts(training: DataFrame, units: Units, class_of: np.ndarray) -> DataFra
             left = CLASSES + np.where(at > 0, classes[at - 1], 0)[~again]
             keys = np.concatenate([token[at] * kinds + right, token[at[~again]] * kinds + left])
             keys, times = np.unique(keys, return_counts=True)
-            word = keys // kinds
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words[word]), pa.array((own[word] * kinds + keys % kinds).astype(np.int32)), pa.array(times.astype(np.int64))],
-                names=["word", "context", "n"],
-            )
+            word, context = np.divmod(keys, kinds)
+            entries = ((times * CLASSES + own[word]) * kinds + context).astype("<i8")
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            for a in range(0, len(first), HELD):
+                at = np.append(first, len(keys))[a : a + HELD + 1]
+                columns = [pa.array(words[word[at[:-1]]]), _binary(entries[at[0] : at[-1]].view(np.uint8), 8 * (at - at[0]))]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "contexts"])
 
     return _rows(training).mapInArrow(count, CONTEXTS)
 
@@ -273,18 +301,22 @@ def moves(contexts: DataFrame, transition: np.ndarray, spread: np.ndarray) -> Da
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch[name].to_numpy() for name in ("word", "context", "n")]
+            data, at = _bytes(batch["contexts"])
+            n, context = np.divmod(data.view("<i8"), CLASSES * kinds)
+            rows = [np.repeat(batch["word"].to_numpy(), np.diff(at) // 8), context, n]
             if held is not None:
                 rows = [np.concatenate(pair) for pair in zip(held, rows, strict=True)]
             last = int(np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))[-1])
-            held = [x[last:].copy() for x in rows]
+            context, nth = np.unique(rows[1][last:], return_inverse=True)
+            n = np.zeros(len(context), np.int64)
+            np.add.at(n, nth, rows[2][last:])
+            held = [np.repeat(rows[0][last:][:1], len(n)), context, n]
             if last:
                 yield chosen(*(x[:last] for x in rows))
         if held is not None:
             yield chosen(*held)
 
-    summed = contexts.groupBy("word", "context").agg(F.sum("n").alias("n"))
-    return summed.repartition("word").sortWithinPartitions("word").mapInArrow(choose, MOVED)
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(choose, MOVED)
 
 
 def coded(documents: DataFrame, lexicon: Lexicon, counts: DataFrame) -> DataFrame:
@@ -403,8 +435,12 @@ def class_pairs(rows: DataFrame) -> np.ndarray:
     return between.reshape(CLASSES, CLASSES)
 
 
-def fit(training: DataFrame, counts: DataFrame) -> Model:
-    """The model, from the training texts and their saved word counts."""
+def fit(training: DataFrame, counts: DataFrame, documents: DataFrame | None = None, among: Column | None = None) -> Model:
+    """The model, from the training texts and their saved word counts.
+
+    If the training texts are those rows of ``documents`` for whose ``doc_id`` ``among`` holds, all documents get their
+    classes here, and ``score`` need not read them again.
+    """
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # What is clustered first does not depend on ``NEAR``, which only says whose counts travel with the tasks.
     clustered = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(HEAD).toArrow()
@@ -445,12 +481,13 @@ def fit(training: DataFrame, counts: DataFrame) -> Model:
     near_classes = pc.coalesce(top["class"].combine_chunks(), own).to_numpy()
     order = np.argsort(near)
     lexicon = Lexicon(units, class_of, near[order], top["n"].to_numpy()[order], near_classes[order], moved)
-    between = class_pairs(coded(training, lexicon, counts))
-    return Model(lexicon, *_estimate(between, class_types), int(n), int(v))
+    rows = None if documents is None else saved(coded(documents, lexicon, counts), "classes")
+    between = class_pairs(coded(training, lexicon, counts) if rows is None else rows.where(among))
+    return Model(lexicon, *_estimate(between, class_types), int(n), int(v), rows)
 
 
-def score(documents: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score for every row."""
+def score(documents: DataFrame, counts: DataFrame, model: Model, rows: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score for every row; ``rows`` are the documents' of ``coded``, if known."""
     transition, spread = model.transition, model.spread
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -462,7 +499,7 @@ def score(documents: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                 columns = [part[name] for name in ("doc_id", "n_tokens", "n_known", "logs")]
                 yield pa.RecordBatch.from_arrays([*columns, *sums], names=[x.split()[0] for x in RATED.split(", ")])
 
-    rated = coded(documents, model.lexicon, counts).mapInArrow(rate, RATED)
+    rated = (coded(documents, model.lexicon, counts) if rows is None else rows).mapInArrow(rate, RATED)
     each = float(np.log10(model.tokens + model.types + 1))
     return rated.select(
         "doc_id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
@@ -474,9 +511,11 @@ def score(documents: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     ship(spark)
-    training = documents.where(fold("doc_id", 7) != 2)
+    among = fold("doc_id", 7) != 2
+    training = documents.where(among)
     counts = saved(word_counts(training), "counts")
-    found = score(documents, counts, fit(training, counts))
+    model = fit(training, counts, documents, among)
+    found = score(documents, counts, model, model.rows)
     return found.select(
         "doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.llm import brown, cnn, langid, packing, rules
 from tests.llm.samples import WORD, documents, given, labels, lower, texts
@@ -274,6 +275,73 @@ def test_classes_equal_a_plain_model(spark, monkeypatch):
     assert (brown.class_pairs(brown.coded(docs, brown.fit(docs, counts).lexicon, counts)) == plain).all()
 
 
+def test_class_model_sums_before_it_shuffles(spark, monkeypatch):
+    monkeypatch.setattr(brown, "HEAD", 20)
+    rng = np.random.default_rng(5)
+    words = [[f"{'xyz'[w % 3]}{w}q" for w in rng.zipf(1.3, 40) % 200] for _ in range(60)] + [["r1q"] * 5, []]
+    docs = spark.createDataFrame([(i, " ".join(own)) for i, own in enumerate(words)], "doc_id long, text string")
+    counts = brown.saved(brown.word_counts(docs), "t")
+    units = brown.Units.of(counts.where(F.col("word") != brown.END).orderBy(F.desc("n"), "word").limit(20).toArrow()["word"].to_numpy(), np.array([]).astype(int))
+    class_of = 1 + np.arange(units.size) % (brown.CLASSES - 1)
+    class_of[0] = 0
+    hashes = {w: word_hash(w) for own in words for w in own}
+    unit = {w: int(units.find(np.array([h]), np.array([0]))[0]) for w, h in hashes.items()}
+    own_class = {w: int(class_of[u]) for w, u in unit.items()}
+    pairs, near = Counter(), {h: Counter() for w, h in hashes.items() if unit[w] == units.size - 1}
+    for own in words:
+        at = [0, *(unit[w] for w in own), 0]
+        pairs.update(a * units.size + b for a, b in zip(at, at[1:]))
+        for k, w in enumerate(own):
+            if hashes[w] in near:
+                before, after = own[k - 1] if k else None, own[k + 1] if k + 1 < len(own) else None
+                near[hashes[w]][2 * brown.CLASSES if after == w else own_class.get(after, 0)] += 1
+                if before != w:
+                    near[hashes[w]][brown.CLASSES + own_class.get(before, 0)] += 1
+
+    def contexts(rows):
+        found = {h: Counter() for h in near}
+        for r in rows:
+            for entry in np.frombuffer(r["contexts"], "<i8").tolist():
+                n, packed = divmod(entry, brown.CLASSES * (2 * brown.CLASSES + 1))
+                assert packed // (2 * brown.CLASSES + 1) == class_of[-1]
+                found[r["word"]][packed % (2 * brown.CLASSES + 1)] += n
+        return found
+
+    rows = brown.contexts(docs.coalesce(1), units, class_of).collect()
+    assert len(rows) == len(near) > 50 and contexts(rows) == near  # several rows a word before
+    expected = {**{hashes[w]: n for w, n in Counter(w for own in words for w in own).items()}, brown.END: len(words)}
+    transition, spread = -rng.random((brown.CLASSES, brown.CLASSES)), rng.random(brown.CLASSES)
+    moved = sorted(brown.moves(brown.contexts(docs, units, class_of), transition, spread).collect())
+    assert moved
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # a word's rows fill more than a batch
+    for held in (7, 1 << 20):
+        monkeypatch.setattr(brown, "HELD", held)
+        some = docs.repartition(7)
+        assert {r["word"]: r["n"] for r in brown.word_counts(some).collect()} == expected
+        assert {r["pair"]: r["n"] for r in brown.pair_counts(some, units).collect()} == pairs
+        found = brown.contexts(some, units, class_of)
+        assert contexts(found.collect()) == near
+        assert sorted(brown.moves(found, transition, spread).collect()) == moved
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_class_model_reads_classes_of_each_text_once(spark, monkeypatch, tmp_path):
+    rows = [(i, " ".join(f"{'ab'[k % 2]}{(i * k) % 17}" for k in range(20))) for i in range(60)]
+    rows += [(7, "a1 b1"), (7, "a1 b1"), (None, "b3 a4"), (90, None), (91, "")]  # 7 is held out or not with all its rows
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = brown.table(spark, str(tmp_path), "documents")
+    training = docs.where(brown.fold("doc_id", 7) != 2)
+    assert 0 < training.count() < len(rows)
+    counts = brown.saved(brown.word_counts(training), "t")
+    apart = brown.score(docs, counts, brown.fit(training, counts)).collect()
+    calls, coded = [], brown.coded
+    monkeypatch.setattr(brown, "coded", lambda *given: (calls.append(given), coded(*given))[1])
+    found = brown.op4_lm_scoring(spark, str(tmp_path))
+    plain = lambda r: (str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6))
+    assert sorted(map(plain, found.collect())) == sorted(map(plain, apart)) and len(apart) == len(rows)
+    assert len(calls) == 1  # training texts were read a second time before
+
+
 def test_exchange_finds_alternating_classes():
     pairs = np.zeros((9, 9))
     rng = np.random.default_rng(0)
