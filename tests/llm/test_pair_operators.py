@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 from collections import defaultdict
 
 import pyarrow as pa
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.llm import decontam, extract, jaccard, secrets, urls
+from daybook.llm.common import saved
 from daybook.llm.components import components
 from daybook.llm.dom import Page
 from daybook.llm.text import Texts, shingle_sets
@@ -431,3 +433,20 @@ def test_blocks_join_members_and_labels_once(spark, monkeypatch):
 
 def shingles_of(text):
     return shingle_sets(Texts.of(pa.array([text]), 0, 1), 5)[0]
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    def blocks():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in (blocks.apply(i).name() for i in range(blocks.size())) if b.startswith("shuffle")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = blocks(), spark.conf.get(setting)
+    rows = saved(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    until = time.time() + 20
+    # Before, they stayed until the driver collected its garbage.
+    while blocks() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not blocks() - before
+    assert spark.conf.get(setting) == was
+    assert sorted(tuple(r) for r in rows.collect()) == [(k, len(range(k, 1000, 7))) for k in range(7)]
