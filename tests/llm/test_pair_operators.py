@@ -1,6 +1,7 @@
 """Joins and searches against brute force, urls, pages and secrets, and the pipeline."""
 
 import html
+import os
 import random
 import re
 import time
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.llm import decontam, extract, jaccard, secrets, urls
-from daybook.llm.common import saved
+from daybook.llm.common import narrowed, passing, saved
 from daybook.llm.components import components
 from daybook.llm.dom import Page
 from daybook.llm.text import Texts, shingle_sets
@@ -450,3 +451,36 @@ def test_shuffle_files_go_with_the_write_that_made_them(spark):
     assert not blocks() - before
     assert spark.conf.get(setting) == was
     assert sorted(tuple(r) for r in rows.collect()) == [(k, len(range(k, 1000, 7))) for k in range(7)]
+
+
+def test_passing_rows_go_at_the_end_of_their_block(spark):
+    with passing(spark.range(5), "test") as rows:
+        folder = rows.inputFiles()[0].removeprefix("file://").rpartition("/rows/")[0]
+        assert rows.count() == 5 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+@pytest.mark.parametrize("n", [0, 1, 4000])
+def test_narrowed_keeps_all_wanted_rows_and_few_others(spark, n):
+    rows = spark.range(-20_000, 20_000).selectExpr("id AS doc_id", "'x' AS text").union(spark.sql("SELECT CAST(NULL AS BIGINT), 'y'"))
+    rows = rows.union(spark.createDataFrame([(0, "again")], "doc_id long, text string"))
+    ids = spark.range(n).selectExpr("id * 7 - 14000 AS doc_id", "id AS set_id")
+    found = narrowed(rows, ids, "doc_id")
+    assert found.columns == ["doc_id", "text"]
+    held = [r["doc_id"] for r in found.collect()]
+    wanted = [k * 7 - 14000 for k in range(n)]
+    assert set(wanted) <= set(held)
+    assert held.count(0) == 2 or 0 not in wanted
+    assert len(held) < n + 0.05 * 40_000
+
+
+def test_join_moves_texts_of_near_pairs_only(spark, monkeypatch):
+    rows = [(i, prose(700 + i, 60)) for i in range(120)]
+    rows += [(500 + i, rows[i][1] + " tail") for i in range(3)] + [(600, rows[0][1] + " other")]
+    moved = []
+    monkeypatch.setattr(jaccard, "narrowed", lambda *a: moved.append(narrowed(*a)) or moved[-1])
+    assert joined(documents(spark, rows)) == brute_components(rows)
+    # Before, each of four rounds shuffled all texts.
+    assert len(moved) == 2
+    held = {r["doc_id"] for r in moved[0].collect()}
+    assert held >= {0, 1, 2, 500, 501, 502, 600} and len(held) < 40
